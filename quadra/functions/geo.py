@@ -3,7 +3,7 @@
 The POI list is a *bounded dimension*: it is turned into an array literal in
 the plan, so the nearest search is a narrow ``transform``/``array_min`` per row
 with no shuffle and no join.  ``MAX_INLINE_POIS`` is the checked bound; larger
-point sets go through :func:`quadra.operators.geo.nearest_poi_grid`.
+point sets are rejected rather than silently truncated.
 """
 from __future__ import annotations
 
@@ -28,13 +28,17 @@ def haversine(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
 
 
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def poi_array(points: list[tuple[int, str, float, float]]) -> Column:
-    """array<struct<ord,name,lat,lon>> literal of one category."""
+    """array<struct<ord,name,lat,lon>> literal of one category (one parsed SQL literal, not N calls)."""
     if len(points) > MAX_INLINE_POIS:
-        raise ValueError(f"{len(points)} POIs exceed the inline bound {MAX_INLINE_POIS}; use the grid join")
-    return F.array(*[F.struct(F.lit(o).alias("ord"), F.lit(n).alias("name"),
-                              F.lit(float(la)).alias("lat"), F.lit(float(lo)).alias("lon"))
-                     for o, n, la, lo in points])
+        raise ValueError(f"{len(points)} POIs exceed the inline bound {MAX_INLINE_POIS}")
+    items = ", ".join(f"named_struct('ord', {int(o)}, 'name', {_sql_str(n)}, 'lat', CAST({float(la)!r} AS DOUBLE), "
+                      f"'lon', CAST({float(lo)!r} AS DOUBLE))" for o, n, la, lo in points)
+    return F.expr(f"array({items})")
 
 
 def ranked_distances(lat, lon, points) -> Column:
@@ -52,10 +56,11 @@ def nearest(lat, lon, points) -> Column:
     if not points:
         return F.struct(F.lit(EMPTY_CATEGORY_DIST).alias("dist"), F.lit("N/A").alias("name"))
     la, lo = _c(lat), _c(lon)
-    best = F.array_min(ranked_distances(la, lo, points))
     valid = la.isNotNull() & lo.isNotNull() & (la != 0) & (lo != 0)
-    return F.when(valid, F.struct(F.bround(best["dist"], 2).alias("dist"), best["name"].alias("name"))) \
-        .otherwise(F.struct(F.lit(UNKNOWN_DIST).alias("dist"), F.lit("N/A").alias("name")))
+    # the array is scanned once; unknown points get an empty candidate list
+    best = F.array_min(F.when(valid, ranked_distances(la, lo, points)).otherwise(F.array()))
+    return F.struct(F.coalesce(F.bround(best["dist"], 2), F.lit(UNKNOWN_DIST)).alias("dist"),
+                    F.coalesce(best["name"], F.lit("N/A")).alias("name"))
 
 
 def k_nearest(lat, lon, points, k: int) -> Column:

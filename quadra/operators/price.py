@@ -80,7 +80,8 @@ def deed_stats(deeds: DataFrame) -> DataFrame:
     """
     v = valid_deeds(deeds)
     count_col = "total_transacoes" if "total_transacoes" in v.columns else "media_valor_transacao"
-    max_year = v.select(F.max("ano_transacao")).scalar()
+    v = v.withColumn("__max_year", v.select(F.max("ano_transacao")).scalar())
+    max_year = F.col("__max_year")
     recent = F.col("ano_transacao") >= max_year - 3
     old = F.col("ano_transacao") < max_year - 3
     stats = v.groupBy("bairro").agg(

@@ -21,15 +21,18 @@ def with_canonical_id(df: DataFrame, url_col: str = "url") -> DataFrame:
 def dedup_first(df: DataFrame, key: str = "id_imovel", order_col: str = "src_order") -> DataFrame:
     """Keep the first row per ``key`` in ``order_col`` order.
 
-    Expressed as ``min(struct(order, payload))`` per key rather than a
-    ``row_number`` window: the aggregate is combined map-side, so a key
-    holding a third of all rows is reduced inside every map task before the
-    shuffle instead of being sorted inside one reducer.
+    1. ``min(order)`` per key — a small-buffer aggregate combined map-side, so
+       a key holding a third of all rows is reduced inside every task;
+    2. left-semi join back on ``(key, first order)`` — AQE's skew-join split
+       handles a hot key on the big side;
+    3. ``distinct()`` drops exact copies that tie on the order key (hash
+       aggregate on the row values, also partially aggregated map-side).
+    Not ``row_number()`` over ``partitionBy(key)``, which sorts a hot key in
+    one task, nor ``min(struct(row))``, whose wide buffer forces a slow
+    sort-based aggregate.
     """
-    payload = [c for c in df.columns if c not in (key, order_col)]
-    best = F.min(F.struct(F.col(order_col).alias("__o"), *[F.col(c) for c in payload])).alias("__r")
-    out = df.groupBy(key).agg(best)
-    return out.select(key, *[F.col(f"__r.{c}").alias(c) for c in payload], F.col(f"__r.__o").alias(order_col))
+    firsts = df.groupBy(key).agg(F.min(order_col).alias(order_col))
+    return df.join(firsts, [key, order_col], "left_semi").distinct()
 
 
 def coerce_numeric(df: DataFrame, cols=NUMERIC_COLS) -> DataFrame:
@@ -75,9 +78,11 @@ def quantile_bounds(df: DataFrame, col: str, probs: list[float], approx: bool =
 def trim_outliers(df: DataFrame, col: str = "preco_m2", lo: float = 0.01, hi: float = 0.99,
                   min_rows: int = 20, approx: bool = False) -> DataFrame:
     """keep ``q_lo < col < q_hi`` (strict, linear quantiles) when the table has > ``min_rows`` rows."""
-    b = quantile_bounds(df, col, [lo, hi], approx)
+    # bind the scalar once: every reference to a subquery Column would carry its own plan copy
+    df = df.withColumn("__qb", quantile_bounds(df, col, [lo, hi], approx))
+    b = F.col("__qb")
     keep = (F.get(b, 2) <= min_rows) | ((F.col(col) > F.get(b, 0)) & (F.col(col) < F.get(b, 1)))
-    return df.filter(keep)
+    return df.filter(keep).drop("__qb")
 
 
 def standardise_text(df: DataFrame, cols=TEXT_COLS) -> DataFrame:

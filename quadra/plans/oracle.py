@@ -1,9 +1,9 @@
 """DuckDB twins of the registered queries (the correctness oracle).
 
 Written independently of the Spark operators: plain ANSI SQL + DuckDB
-functions over the same parquet tables.  Rounding goes through DECIMAL so
-half-even ties match Spark's ``bround`` (which rounds the shortest decimal
-representation of the double).
+functions over the same parquet tables.  Rounding goes through the shortest
+decimal text of the double and DECIMAL so half-even ties match Spark's
+``bround`` (DuckDB's own ``round_even`` on DOUBLE rounds the binary value).
 """
 from __future__ import annotations
 
@@ -18,7 +18,8 @@ def q(s: str) -> str:
 
 
 def rnd(x: str, n: int) -> str:
-    return f"CAST(round_even(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
+    """Half-even on the shortest decimal form of the double, as Spark's ``bround`` does."""
+    return f"CAST(round_even(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
 def trim(x: str) -> str:
@@ -138,3 +139,440 @@ SELECT s.id_imovel, s.bairro, s.rua, CAST(ps.qtd_na_rua AS BIGINT) AS qtd_na_rua
 FROM silver s LEFT JOIN per_street ps ON s.bairro = ps.bairro AND s.rua = ps.rua
               LEFT JOIN per_bairro pb ON s.bairro = pb.bairro
 """).replace("WITH \nraw", "WITH \nraw", 1))
+
+
+# ----------------------------------------------------------------------------- enrichment chain
+
+def D(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def poi_values() -> str:
+    rows = [f"({q(c)}, {o}, {q(n)}, {D(la)}, {D(lo)})" for c, o, n, la, lo in dims.poi_rows()]
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS t(category, ord, name, plat, plon)"
+
+
+def hav(lat: str, lon: str, plat: str, plon: str) -> str:
+    return (f"CAST(12742.0 AS DOUBLE) * asin(sqrt(pow(sin((radians({plat}) - radians({lat})) / 2), 2) + "
+            f"cos(radians({lat})) * cos(radians({plat})) * pow(sin((radians({plon}) - radians({lon})) / 2), 2)))")
+
+
+def geo_ctes(src: str) -> str:
+    cats = [c for c, _, _ in dims.GEO_COLUMNS] + ["transporte_hub", "brt_stations"]
+    cols = []
+    for c in cats:
+        if c in dims.POIS:
+            cols.append(f"coalesce(max(CASE WHEN n.category = {q(c)} THEN n.d END), CASE WHEN s.latitude <> 0 AND s.longitude <> 0 THEN NULL ELSE 999.0 END) AS d_{c}")
+            cols.append(f"coalesce(max(CASE WHEN n.category = {q(c)} THEN n.name END), 'N/A') AS n_{c}")
+        else:
+            cols.append(f"99.9 AS d_{c}")
+            cols.append(f"'N/A' AS n_{c}")
+    sel = []
+    for c, dcol, ncol in dims.GEO_COLUMNS:
+        sel += [f"d_{c} AS {dcol}", f"n_{c} AS {ncol}"]
+    tur = in_list(std("bairro"), dims.TOURIST_DISTRICTS)
+    return f""",
+poi AS ({poi_values()}),
+cand AS (SELECT s.id_imovel, p.category, p.ord, p.name,
+                {hav('s.latitude', 's.longitude', 'p.plat', 'p.plon')} AS dist
+         FROM {src} s, poi p WHERE s.latitude <> 0 AND s.longitude <> 0),
+nn AS (SELECT id_imovel, category, name, {rnd('dist', 2)} AS d FROM (
+         SELECT *, row_number() OVER (PARTITION BY id_imovel, category ORDER BY dist, ord) AS rk FROM cand) WHERE rk = 1),
+nnw AS (SELECT s.id_imovel, {', '.join(cols)}
+        FROM {src} s LEFT JOIN nn n ON s.id_imovel = n.id_imovel GROUP BY s.id_imovel, s.latitude, s.longitude),
+g0 AS (SELECT s.*, {', '.join(sel)},
+              CASE WHEN w.d_brt_stations < w.d_transporte_hub THEN w.d_brt_stations ELSE w.d_transporte_hub END AS dist_transporte_km,
+              CASE WHEN w.d_brt_stations < w.d_transporte_hub THEN w.n_brt_stations ELSE w.n_transporte_hub END AS transporte_prox
+       FROM {src} s JOIN nnw w ON s.id_imovel = w.id_imovel),
+geo AS (SELECT *,
+   {rnd('CASE WHEN dist_transporte_km < 0.6 THEN 10.0 WHEN dist_transporte_km < 1.5 THEN 8.0 WHEN dist_transporte_km < 3.0 THEN 6.0 WHEN dist_transporte_km < 5.0 THEN 4.0 ELSE greatest(0.0, 10 - dist_transporte_km * 1.5) END', 1)} AS score_mobilidade,
+   least(greatest({rnd('5.0 - CASE WHEN dist_risco_km < 0.5 THEN 4.0 WHEN dist_risco_km < 1.0 THEN 2.0 WHEN dist_risco_km < 2.0 THEN 0.5 ELSE 0.0 END + CASE WHEN dist_policia_km < 0.8 THEN 2.5 WHEN dist_policia_km < 2.0 THEN 1.0 ELSE 0.0 END', 1)}, 0.0), 10.0) AS score_seguranca,
+   least(greatest({rnd('(CAST(dist_transporte_km < 1.5 AS INTEGER) + CAST(dist_mercado_km < 1.5 AS INTEGER) + CAST(dist_feira_km < 1.5 AS INTEGER) + CAST(dist_lazer_km < 1.5 AS INTEGER) + CAST(dist_praia_km < 1.5 AS INTEGER) + CAST(dist_shopping_km < 1.5 AS INTEGER)) * 10 / 6', 1)}, 0.0), 10.0) AS score_lifestyle,
+   CASE WHEN {tur} AND (dist_praia_km < 0.8 OR dist_turismo_km < 1.0) THEN 'Altíssima'
+        WHEN {tur} AND (dist_praia_km < 2.0 OR dist_turismo_km < 2.0) THEN 'Alta'
+        WHEN NOT ({tur}) AND dist_praia_km < 1.0 THEN 'Média' ELSE 'Baixa' END AS vocacao_airbnb
+   FROM g0)"""
+
+
+def _sac_sql(fin: str, jm: float, n: int):
+    a = f"({fin}) / {n}"
+    ok = f"({fin}) > 0"
+    return (f"CASE WHEN {ok} THEN {rnd(f'{a} + ({fin}) * {D(jm)}', 2)} ELSE 0.0 END",
+            f"CASE WHEN {ok} THEN {rnd(f'{a} + {a} * {D(jm)}', 2)} ELSE 0.0 END",
+            f"CASE WHEN {ok} THEN {rnd(f'{D(jm)} * ({fin}) * {n + 1} / 2', 2)} ELSE 0.0 END")
+
+
+def _price_sql(fin: str, aa: float, n: int):
+    jm = (1 + aa) ** (1 / 12) - 1
+    f = (1 + jm) ** n
+    p = f"({fin}) * {D(jm * f)} / {D(f - 1)}"
+    ok = f"({fin}) > 0"
+    return (f"CASE WHEN {ok} THEN {rnd(p, 2)} ELSE 0.0 END",
+            f"CASE WHEN {ok} THEN {rnd(f'{p} * {n} - ({fin})', 2)} ELSE 0.0 END")
+
+
+def finance_ctes(src: str) -> str:
+    v = "valor"
+    band_case = []
+    per = {}
+    for b, ceiling, sub_max, factor, aa, quota, n, has_sub in dims.MCMV_BANDS:
+        jm = (1 + aa) ** (1 / 12) - 1
+        sub = f"least({D(sub_max * factor)}, {v} * {D(0.90)})" if has_sub else "0.0"
+        fin = f"{v} * {D(quota)}"
+        s1, su, stj = _sac_sql(fin, jm, n)
+        pp, ptj = _price_sql(fin, aa, n)
+        per[b] = {"mcmv_subsidio": rnd(sub, 2), "mcmv_entrada": rnd(f"greatest({v} - {fin} - {sub}, 0.0)", 2),
+                  "mcmv_financiado": rnd(fin, 2), "mcmv_juros_aa": D(round(aa * 100, 2)),
+                  "mcmv_sac_1a": s1, "mcmv_sac_ult": su, "mcmv_sac_juros_total": stj,
+                  "mcmv_price_parcela": pp, "mcmv_price_juros_total": ptj,
+                  "mcmv_renda_min_sac": rnd(f"({s1}) / {D(0.30)}", 2), "mcmv_renda_min_price": rnd(f"({pp}) / {D(0.30)}", 2),
+                  "mcmv_teto": D(ceiling)}
+    def by_band(k):
+        return (f"CASE WHEN {v} <= 0 THEN 0.0 WHEN {v} <= 264000 THEN {per[1][k]} WHEN {v} <= 350000 THEN {per[3][k]} "
+                f"WHEN {v} <= 500000 THEN {per[4][k]} ELSE 0.0 END")
+    mcmv = ",\n  ".join(f"{by_band(k)} AS {k}" for k in per[1])
+    market = {}
+    for name, (_, aa, quota, n) in (("SFH", dims.SFH), ("SFI", dims.SFI)):
+        jm = (1 + aa) ** (1 / 12) - 1
+        fin = f"{v} * {D(quota)}"
+        s1, su, stj = _sac_sql(fin, jm, n)
+        pp, ptj = _price_sql(fin, aa, n)
+        market[name] = {"merc_entrada": rnd(f"{v} - {fin}", 2), "merc_financiado": rnd(fin, 2),
+                        "merc_juros_aa": D(round(aa * 100, 2)), "merc_sac_1a": s1, "merc_sac_ult": su,
+                        "merc_sac_juros_total": stj, "merc_price_parcela": pp, "merc_price_juros_total": ptj,
+                        "merc_renda_min_sac": rnd(f"({s1}) / {D(0.30)}", 2),
+                        "merc_renda_min_price": rnd(f"({pp}) / {D(0.30)}", 2)}
+    merc = ",\n  ".join(f"CASE WHEN {v} <= 0 THEN 0.0 WHEN {v} <= {D(dims.SFH[0])} THEN {market['SFH'][k]} "
+                        f"ELSE {market['SFI'][k]} END AS {k}" for k in market["SFH"])
+    band = (f"CASE WHEN {v} <= 0 THEN 0 WHEN {v} <= 264000 THEN 1 WHEN {v} <= 350000 THEN 3 "
+            f"WHEN {v} <= 500000 THEN 4 ELSE 0 END")
+    fixed = "(coalesce(condominio, 0) + coalesce(iptu, 0) / 12)"
+    rent = f"({v} * {D(0.0045)})"
+    flow = f"({rent} - {fixed})"
+    payback = f"(CASE WHEN {flow} * 12 > 0 THEN custo_aquisicao_total / ({flow} * 12) ELSE 999.0 END)"
+    diff = "coalesce(diferenca_percentual, 0.0)"
+    dist = "coalesce(dist_transporte_km, 99.0)"
+    score = (f"5.0 + CASE WHEN {diff} < -20 THEN 2.0 WHEN {diff} < -10 THEN 1.0 ELSE 0.0 END"
+             f" - CASE WHEN {diff} > 20 THEN 2.0 WHEN {diff} > 10 THEN 1.0 ELSE 0.0 END"
+             f" + CASE WHEN {dist} < 0.5 THEN 1.5 WHEN {dist} < 1.0 THEN 0.5 ELSE 0.0 END"
+             f" + CASE WHEN {fixed} < 500 THEN 1.0 ELSE 0.0 END - CASE WHEN {fixed} > 2500 THEN 1.0 ELSE 0.0 END"
+             f" + CASE WHEN {payback} < 15 THEN 1.0 ELSE 0.0 END - CASE WHEN {payback} > 40 THEN 1.0 ELSE 0.0 END"
+             f" + CASE WHEN mcmv_elegivel = 1 THEN 0.5 ELSE 0.0 END")
+    th = lambda x: f"format('{{:,.0f}}', {rnd(x, 0)})"
+    labels = " ".join(f"WHEN {k} THEN {q(lbl)}" for k, lbl in dims.MCMV_LABELS.items())
+    return f""",
+f0 AS (SELECT *, {rnd(f'{v} * {D(0.03)}', 2)} AS itbi_estimado, {rnd(f'{v} * {D(0.015)}', 2)} AS cartorio_estimado,
+              {rnd(f'{v} + {rnd(f"{v} * {D(0.03)}", 2)} + {rnd(f"{v} * {D(0.015)}", 2)}', 2)} AS custo_aquisicao_total,
+  {mcmv},
+  {merc},
+  CAST({band} > 0 AS INTEGER) AS mcmv_elegivel, {band} AS mcmv_faixa,
+  CASE WHEN {v} <= 0 THEN 'N/A' WHEN {v} <= {D(dims.SFH[0])} THEN 'SFH' ELSE 'SFI' END AS merc_modalidade
+  FROM {src}),
+f1 AS (SELECT *, CASE WHEN mcmv_elegivel = 1 THEN {rnd('merc_price_juros_total - mcmv_price_juros_total', 2)} ELSE 0.0 END AS mcmv_economia,
+              CASE mcmv_faixa {labels} END AS mcmv_faixa_label,
+              {rnd(fixed, 2)} AS custo_fixo_mensal, {rnd(rent, 2)} AS aluguel_estimado, {rnd(flow, 2)} AS fluxo_caixa_mensal,
+              CASE WHEN {v} > 0 THEN {rnd(f'{rent} * 12 / {v} * 100', 2)} ELSE 0.0 END AS yield_bruto_anual,
+              {rnd(payback, 1)} AS anos_payback,
+              CASE WHEN {payback} <= 15 THEN 'Excelente (<=15 anos)' WHEN {payback} <= 20 THEN 'Bom (15-20 anos)'
+                   WHEN {payback} <= 30 THEN 'Regular (20-30 anos)' WHEN {payback} <= 50 THEN 'Longo (30-50 anos)'
+                   WHEN {payback} > 50 THEN 'Inviavel (>50 anos)' ELSE 'N/A' END AS payback_classificacao,
+              CAST(least(greatest({rnd(score, 0)}, 0.0), 10.0) AS INTEGER) AS score_investimento,
+              {flow} AS _flow, {payback} AS _payback
+       FROM f0),
+fin AS (SELECT * EXCLUDE (_flow, _payback), concat_ws(' | ',
+           CASE WHEN mcmv_elegivel = 1 THEN 'MCMV ' || mcmv_faixa_label || ': SAC R$' || {th('mcmv_sac_1a')}
+                ELSE merc_modalidade || ': SAC R$' || {th('merc_sac_1a')} END,
+           CASE WHEN mcmv_elegivel = 1 AND mcmv_subsidio > 0 THEN 'Subsidio ~R$' || {th('mcmv_subsidio')} END,
+           CASE WHEN mcmv_elegivel = 1 AND mcmv_economia > 0 THEN 'Economia R$' || {th('mcmv_economia')} END,
+           CASE WHEN _flow > 0 THEN 'Payback ' || CAST(CAST({rnd('_payback', 0)} AS BIGINT) AS VARCHAR) || 'a' END
+        ) AS resumo_financeiro FROM f1)"""
+
+
+def tail_ctes(src: str) -> str:
+    """supply -> segments -> days -> tags -> urgency -> comfort -> profiles, from ``src``."""
+    tag_cols = ",\n  ".join(f"CAST(regexp_matches(lower(coalesce(descricao, 'nan')), {q(p)}) AS INTEGER) AS {n}"
+                            for n, p in dims.TAGS)
+    urg = "|".join(dims.URGENCY_PHRASES)
+    comfort = " + ".join(f"coalesce({c}, 0) * {w}" for c, w in dims.COMFORT_WEIGHTS)
+    seg = dims.PRICE_SEGMENTS
+    size = dims.SIZE_SEGMENTS
+
+    def qlab(c, e, labels):
+        dup = " OR ".join(f"{e}[{i}] = {e}[{i + 1}]" for i in range(1, 6))
+        whens = " ".join(f"WHEN {c} <= {e}[{i + 2}] THEN {q(labels[i])}" for i in range(5))
+        return f"CASE WHEN {dup} THEN 'Padrão' ELSE CASE {whens} END END"
+    zone_rows = ", ".join(f"({q(b)}, {q(n)}, {q(z)}, {p})" for b, n, z, p in dims.zone_rows())
+    b = std("bairro")
+    bj = (f"CASE WHEN (length({b}) > 50 OR contains({b}, 'Para Comprar') OR contains({b}, 'Para Alugar')) "
+          f"AND regexp_extract({b}, '[Ee][Mm](.+?)(?:,\\s*Rio|$)', 1) <> '' "
+          f"THEN {title(trim(f'regexp_extract({b}, ' + q('[Ee][Mm](.+?)(?:,\\s*Rio|$)') + ', 1)'))} ELSE {b} END")
+    norm_cols = ["dist_saude_educ_km", "score_seguranca", "dist_lazer_km", "dist_mercado_km", "custo_fixo_mensal",
+                 "score_mobilidade", "score_lifestyle", "dist_transporte_km"]
+    mm = ", ".join(f"min(coalesce({c}, 0)) AS {c}_min, max(coalesce({c}, 0)) AS {c}_max" for c in norm_cols)
+
+    def nrm(c, inv=False):
+        x = f"(CASE WHEN m.{c}_max = m.{c}_min THEN 0.0 ELSE (coalesce(t.{c}, 0) - m.{c}_min) / (m.{c}_max - m.{c}_min) END)"
+        return f"(CASE WHEN m.{c}_max = m.{c}_min THEN 0.0 ELSE 1 - {x} END)" if inv else x
+    fam = (f"CASE WHEN quartos >= 3 THEN 20 WHEN quartos >= 2 THEN 15 ELSE 0 END + CASE WHEN quartos >= 4 THEN 5 ELSE 0 END"
+           f" + {nrm('dist_saude_educ_km', True)} * 15 + tem_playground * 10 + tem_piscina * 5 + tem_churrasqueira * 5"
+           f" + tem_condominio_fechado * 10 + tem_portaria_24h * 5 + tem_elevador * 5 + {nrm('score_seguranca')} * 10"
+           f" + {nrm('dist_lazer_km', True)} * 5 + {nrm('dist_mercado_km', True)} * 5")
+    diff = "coalesce(diferenca_percentual, 0)"
+    pay = "coalesce(anos_payback, 999.0)"
+    inv = (f"CASE WHEN {diff} < -20 THEN 20 WHEN {diff} < -10 THEN 15 WHEN {diff} < 0 THEN 8 ELSE 0 END"
+           f" + CASE WHEN {pay} < 15 THEN 20 WHEN {pay} < 20 THEN 15 WHEN {pay} < 30 THEN 8 ELSE 0 END"
+           f" + {nrm('custo_fixo_mensal', True)} * 10 + {nrm('score_mobilidade')} * 10"
+           f" + CASE vocacao_airbnb WHEN 'Altíssima' THEN 15 WHEN 'Alta' THEN 10 WHEN 'Média' THEN 5 ELSE 0 END"
+           f" + CASE WHEN mcmv_elegivel > 0 THEN 5 ELSE 0 END + {nrm('score_lifestyle')} * 5"
+           f" + CASE WHEN gatilho_urgencia > 0 THEN 5 ELSE 0 END")
+    first = (f"CASE WHEN mcmv_elegivel > 0 THEN 25 ELSE 0 END + CASE WHEN mcmv_faixa <= 2 THEN 10 WHEN mcmv_faixa = 3 THEN 5 ELSE 0 END"
+             f" + CASE WHEN mcmv_subsidio > 0 THEN 10 ELSE 0 END + CASE WHEN valor <= 264000 THEN 10 WHEN valor <= 350000 THEN 5 ELSE 0 END"
+             f" + {nrm('score_mobilidade')} * 15 + {nrm('dist_transporte_km', True)} * 10 + tem_elevador * 5 + tem_portaria_24h * 5"
+             f" + CASE WHEN mcmv_renda_min_sac > 0 AND mcmv_renda_min_sac < 4000 THEN 10"
+             f" WHEN mcmv_renda_min_sac >= 4000 AND mcmv_renda_min_sac < 8000 THEN 5 ELSE 0 END")
+    clip = lambda x: f"CAST(least(greatest({rnd(x, 0)}, 0.0), 100.0) AS INTEGER)"
+
+    def lbl(c, name):
+        return (f"CASE WHEN {c} >= 70 THEN {q('Excelente p/ ' + name)} WHEN {c} >= 50 THEN {q('Bom p/ ' + name)} "
+                f"WHEN {c} >= 30 THEN {q('Regular p/ ' + name)} ELSE {q('Fraco p/ ' + name)} END")
+    txt = lambda c: f"coalesce(CAST({c} AS VARCHAR), 'nan')"
+    adq = (f"CASE WHEN length({txt('descricao')}) > 500 THEN 2 WHEN length({txt('descricao')}) > 200 THEN 1 ELSE 0 END"
+           f" + CASE WHEN length({txt('imagem_url')}) > 10 THEN 1 ELSE 0 END + CASE WHEN coalesce(condominio, 0) > 0 THEN 1 ELSE 0 END"
+           f" + CASE WHEN coalesce(iptu, 0) > 0 THEN 1 ELSE 0 END + CASE WHEN {txt('origem_geo')} <> 'Nao Encontrado' THEN 2 ELSE 0 END"
+           f" + CASE WHEN {trim(txt('corretora'))} NOT IN ('', 'Nan', 'nan') THEN 1 ELSE 0 END"
+           f" + CASE WHEN length({txt('endereco_completo')}) > 20 THEN 1 ELSE 0 END"
+           f" + CASE WHEN coalesce(dias_publicado, 0) > 0 THEN 1 ELSE 0 END")
+    tl = "lower(coalesce(CAST(tipo_imovel AS VARCHAR), 'nan'))"
+    st = "lower(coalesce(CAST(status_construcao AS VARCHAR), 'nan'))"
+    return f""",
+sp_street AS (SELECT bairro, rua, count(url) AS qtd_na_rua FROM {src} GROUP BY bairro, rua),
+sp_bairro AS (SELECT bairro, avg(qtd_na_rua) AS media_ofertas_por_rua_no_bairro FROM sp_street GROUP BY bairro),
+sup AS (SELECT s.*, ps.qtd_na_rua, pb.media_ofertas_por_rua_no_bairro,
+          CASE WHEN coalesce(ps.qtd_na_rua, 0) < 3 THEN 'Normal'
+               WHEN coalesce(ps.qtd_na_rua, 0) > coalesce(pb.media_ofertas_por_rua_no_bairro, 1) * 3 THEN 'ALERTA: Fuga Possível (Oferta Muito Alta)'
+               WHEN coalesce(ps.qtd_na_rua, 0) > coalesce(pb.media_ofertas_por_rua_no_bairro, 1) * 1.5 THEN 'Oferta Elevada'
+               ELSE 'Normal/Baixa' END AS alerta_oferta_rua
+        FROM {src} s LEFT JOIN sp_street ps ON s.bairro = ps.bairro AND s.rua = ps.rua LEFT JOIN sp_bairro pb ON s.bairro = pb.bairro),
+edges AS (SELECT quantile_cont(valor, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS ev, quantile_cont(area_m2, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS ea FROM sup),
+seg AS (SELECT sup.*, {qlab('valor', 'edges.ev', seg)} AS segmento_mercado, {qlab('area_m2', 'edges.ea', size)} AS perfil_tamanho
+        FROM sup, edges),
+dom AS (SELECT *, coalesce(datediff('day', anuncio_criado, DATE '{lv.AS_OF}'), 0) AS dias_no_mercado FROM seg),
+dom2 AS (SELECT *, CASE WHEN dias_no_mercado <= 7 THEN 'Recém Chegado (Hype)' WHEN dias_no_mercado <= 30 THEN 'Recente (1 Mês)'
+                        WHEN dias_no_mercado <= 90 THEN 'Normal (3 Meses)' WHEN dias_no_mercado <= 180 THEN 'Encalhado (6 Meses)'
+                        ELSE 'Zombie (> 6 Meses - Barganha Extrema)' END AS status_temporal FROM dom),
+tags AS (SELECT *,
+  {tag_cols} FROM dom2),
+urg AS (SELECT *, CAST(regexp_matches(lower(coalesce(descricao, '')), {q(urg)}) AS INTEGER) AS gatilho_urgencia FROM tags),
+urg2 AS (SELECT *, CAST(gatilho_urgencia = 1 AND coalesce(dias_no_mercado, 0) > 90 AS INTEGER) AS alerta_oportunidade_ouro FROM urg),
+comf AS (SELECT *, CAST(least(CAST(coalesce(vagas, 0) > 0 AS INTEGER) * 15 + {comfort}
+           + CAST(coalesce(dist_transporte_km, 99) < 0.7 AS INTEGER) * 10 + CAST(coalesce(dist_mercado_km, 99) < 0.4 AS INTEGER) * 5, 100) AS INTEGER) AS score_conforto FROM urg2),
+zdim AS (SELECT * FROM (VALUES {zone_rows}) AS z(zb, zn, zona, prio)),
+zb AS (SELECT DISTINCT bairro, {bj} AS b FROM comf),
+zb2 AS (SELECT bairro, b, lower({accents('b')}) AS nb FROM zb),
+zres AS (SELECT bairro, coalesce(
+            (SELECT arg_min(zona, prio) FROM zdim WHERE zb = zb2.b),
+            (SELECT arg_min(zona, prio) FROM zdim WHERE zn = zb2.nb),
+            CASE WHEN length(nb) >= 3 THEN (SELECT arg_min(zona, prio) FROM zdim WHERE contains(zn, zb2.nb) OR contains(zb2.nb, zn)) END,
+            {q(dims.ZONE_UNKNOWN)}) AS zona FROM zb2),
+pz AS (SELECT c.*, z.zona,
+          CASE WHEN coalesce(valor, 0) <= 300000 THEN 'Até R$300k' WHEN coalesce(valor, 0) <= 500000 THEN 'R$300k-500k'
+               WHEN coalesce(valor, 0) <= 1000000 THEN 'R$500k-1M' WHEN coalesce(valor, 0) <= 2000000 THEN 'R$1M-2M' ELSE 'Acima R$2M' END AS faixa_preco,
+          CASE WHEN contains({tl}, 'cobertura') THEN 'Cobertura' WHEN coalesce(andar, 0) = 0 THEN 'Térreo / N.I.'
+               WHEN andar <= 3 THEN 'Baixo (1-3)' WHEN andar <= 8 THEN 'Médio (4-8)' ELSE 'Alto (9+)' END AS andar_classificacao,
+          CASE WHEN contains({st}, 'planta') THEN 'Lançamento (Na Planta)' WHEN regexp_matches({st}, 'construção|construcao') THEN 'Em Construção'
+               WHEN contains({st}, 'pronto') AND coalesce(dias_publicado, 0) < 365 THEN 'Novo / Semi-novo' ELSE 'Usado' END AS idade_estimada,
+          CAST(least(greatest({adq}, 0), 10) AS INTEGER) AS score_qualidade_anuncio
+       FROM comf c LEFT JOIN zres z ON c.bairro IS NOT DISTINCT FROM z.bairro),
+mm AS (SELECT {mm} FROM pz),
+pf AS (SELECT t.*, {clip(fam)} AS perfil_familia, {clip(inv)} AS perfil_investidor, {clip(first)} AS perfil_primeiro_imovel
+       FROM pz t, mm m),
+prof AS (SELECT *, {lbl('perfil_familia', 'Família')} AS perfil_familia_label, {lbl('perfil_investidor', 'Investidor')} AS perfil_investidor_label,
+                {lbl('perfil_primeiro_imovel', 'Primeiro Imóvel')} AS perfil_primeiro_imovel_label FROM pf)"""
+
+
+def with_gold(body: str) -> str:
+    return "WITH " + silver_ctes() + reference_ctes() + geo_ctes("priced") + finance_ctes("geo") + tail_ctes("fin") + "\n" + body
+
+
+def _gold_sql(*cols: str) -> str:
+    return with_gold(f"SELECT id_imovel, {', '.join(cols)} FROM prof")
+
+
+_GEO = [c for _, d, n in dims.GEO_COLUMNS for c in (d, n)] + ["dist_transporte_km", "transporte_prox"]
+_MCMV = ["mcmv_faixa", "mcmv_elegivel", "mcmv_teto", "mcmv_subsidio", "mcmv_entrada", "mcmv_financiado",
+         "mcmv_juros_aa", "mcmv_sac_1a", "mcmv_sac_ult", "mcmv_sac_juros_total", "mcmv_price_parcela",
+         "mcmv_price_juros_total", "mcmv_renda_min_sac", "mcmv_renda_min_price", "mcmv_economia", "mcmv_faixa_label"]
+_MERC = ["merc_entrada", "merc_financiado", "merc_juros_aa", "merc_sac_1a", "merc_sac_ult", "merc_sac_juros_total",
+         "merc_price_parcela", "merc_price_juros_total", "merc_renda_min_sac", "merc_renda_min_price", "merc_modalidade"]
+_CASH = ["itbi_estimado", "cartorio_estimado", "custo_aquisicao_total", "custo_fixo_mensal", "aluguel_estimado",
+         "fluxo_caixa_mensal", "yield_bruto_anual", "anos_payback", "payback_classificacao"]
+_PROFILE = ["perfil_familia", "perfil_investidor", "perfil_primeiro_imovel", "perfil_familia_label",
+            "perfil_investidor_label", "perfil_primeiro_imovel_label"]
+
+register("nearest_poi", _gold_sql(*_GEO))
+register("geo_scores", _gold_sql("score_mobilidade", "score_seguranca", "score_lifestyle", "vocacao_airbnb"))
+register("finance_scenarios", _gold_sql(*_MCMV, *_MERC))
+register("cash_flow_payback", _gold_sql(*_CASH))
+register("investment_score", _gold_sql("diferenca_percentual", "dist_transporte_km", "score_investimento"))
+register("finance_summary", _gold_sql("resumo_financeiro"))
+register("quintile_segments", _gold_sql("valor", "area_m2", "segmento_mercado", "perfil_tamanho"))
+register("days_on_market", _gold_sql("anuncio_criado", "CAST(dias_no_mercado AS INTEGER) AS dias_no_mercado", "status_temporal"))
+register("text_tags", _gold_sql(*[n for n, _ in dims.TAGS]))
+register("urgency_gold", _gold_sql("gatilho_urgencia", "alerta_oportunidade_ouro"))
+register("comfort_index", _gold_sql("score_conforto"))
+register("zone_lookup", _gold_sql("bairro", "zona"))
+register("bands_floor_age", _gold_sql("faixa_preco", "andar_classificacao", "idade_estimada"))
+register("ad_quality", _gold_sql("score_qualidade_anuncio"))
+register("audience_profiles", _gold_sql(*_PROFILE))
+
+
+def deed_ctes() -> str:
+    return f""",
+draw AS ({lv.deed_view_sql()}),
+deeds AS (SELECT {std('bairro')} AS bairro, coalesce(ano_transacao, 0) AS ano_transacao,
+                 coalesce(media_valor_transacao, 0) AS media_valor_transacao, coalesce(media_area_terreno, 0) AS media_area_terreno,
+                 CAST(coalesce(total_transacoes, 0) AS DOUBLE) AS total_transacoes FROM draw),
+dv AS (SELECT *, media_valor_transacao / media_area_terreno AS pm2 FROM deeds
+       WHERE media_valor_transacao > 10000 AND media_area_terreno > 0),
+dmx AS (SELECT max(ano_transacao) AS m FROM dv),
+dstats AS (SELECT bairro, {rnd('avg(media_valor_transacao)', 2)} AS escritura_valor_medio,
+                  {rnd('median(media_valor_transacao)', 2)} AS escritura_valor_mediano,
+                  {rnd('coalesce(avg(CASE WHEN pm2 > 0 THEN pm2 END), 0.0)', 2)} AS escritura_preco_m2_medio,
+                  count(total_transacoes) AS escritura_total_transacoes,
+                  max(ano_transacao) AS escritura_ano_mais_recente, min(ano_transacao) AS escritura_ano_mais_antigo,
+                  {rnd('(avg(CASE WHEN ano_transacao >= m - 3 THEN media_valor_transacao END) - avg(CASE WHEN ano_transacao < m - 3 THEN media_valor_transacao END)) / avg(CASE WHEN ano_transacao < m - 3 THEN media_valor_transacao END) * 100', 1)} AS escritura_valorizacao_pct
+           FROM dv, dmx GROUP BY bairro)"""
+
+
+_DEED = ["escritura_valor_medio", "escritura_valor_mediano", "escritura_preco_m2_medio", "escritura_total_transacoes",
+         "escritura_ano_mais_recente", "escritura_ano_mais_antigo", "escritura_valorizacao_pct"]
+
+register("deed_trend", "WITH " + deed_ctes()[2:] + f"\nSELECT bairro, {', '.join(_DEED)} FROM dstats")
+register("deed_stats", with_silver(deed_ctes() + f"""
+SELECT s.id_imovel, s.bairro, s.valor, {', '.join('d.' + c for c in _DEED)},
+       CASE WHEN coalesce(d.escritura_valor_medio, 0) > 0
+            THEN {rnd('(s.valor - d.escritura_valor_medio) / d.escritura_valor_medio * 100', 1)} ELSE 0.0 END AS delta_escritura_pct
+FROM silver s LEFT JOIN dstats d ON s.bairro = d.bairro"""))
+
+
+# ----------------------------------------------------------------------------- BI, data quality, statistics
+
+def bi_ctes() -> str:
+    return """,
+bi AS (SELECT * EXCLUDE (valor, condominio, iptu, anuncio_criado),
+              coalesce(valor, 0) AS "valor_R$", coalesce(condominio, 0) AS "condominio_R$", coalesce(iptu, 0) AS "iptu_R$",
+              strftime(anuncio_criado, '%Y-%m-%d') AS anuncio_criado,
+              CASE WHEN latitude <> 0 AND longitude <> 0 THEN CAST(latitude AS VARCHAR) || ',' || CAST(longitude AS VARCHAR)
+                   ELSE 'Url encontrada sem coordenadas' END AS coordenadas,
+              greatest(coalesce(tem_vista_pro_mar, 0), coalesce(tag_vista_mar, 0), 0) AS final_tem_vista_mar,
+              greatest(coalesce(tem_varanda, 0), coalesce(tem_varanda_gourmet, 0), 0) AS final_tem_varanda,
+              greatest(coalesce(tem_piscina, 0), coalesce(tem_churrasqueira, 0), coalesce(tem_academia, 0), 0) AS final_tem_lazer
+       FROM prof)"""
+
+
+def with_bi(body: str) -> str:
+    return with_gold(bi_ctes() + "\n" + body)
+
+
+def _qc(c: str) -> str:
+    return '"' + c + '"'
+
+
+def rules_cte() -> str:
+    aggs = ["count(*) AS n"]
+    rows = []
+    for i, (field, _desc, kind, mn) in enumerate(dims.FIELD_RULES):
+        c = _qc(field)
+        num = f"coalesce(TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE), 0.0)"
+        text = f"coalesce(CAST({c} AS VARCHAR), 'nan')"
+        if kind in ("num", "bool", "var"):
+            pos = f"count_if({num} > 0)"
+        elif kind == "txt":
+            pos = f"count_if(NOT ({in_list(f'trim({text})', dims.INVALID_TEXT)}) AND length(trim({text})) > 0)"
+        elif kind == "lng":
+            pos = f"count_if(length({text}) > 50)"
+        else:
+            pos = (f"count_if(contains({text}, ',') AND NOT contains({text}, '0.0,0.0') AND NOT contains({text}, 'Url') "
+                   f"AND NOT contains({text}, 'Nao'))")
+        aggs += [f"CAST({pos} AS BIGINT) AS p{i}", f"min({num}) < max({num}) AS v{i}"]
+        rows.append(f"SELECT {i} AS ord, {q(field)} AS campo, {q(kind)} AS tipo, {mn} AS min_pct, p{i} AS pos, v{i} AS varies, n FROM ragg")
+    return f""",
+ragg AS (SELECT {', '.join(aggs)} FROM bi),
+rlong AS ({' UNION ALL '.join(rows)}),
+rpct AS (SELECT *, CASE WHEN n > 0 THEN {rnd('pos / n * 100', 1)} ELSE 0.0 END AS pct FROM rlong),
+rules AS (SELECT ord, campo, tipo, min_pct, pos, pct,
+            CASE WHEN tipo = 'bool' THEN CASE WHEN pos > 0 AND pos < n THEN '✅' ELSE '⚠️' END
+                 WHEN tipo = 'var' THEN CASE WHEN varies THEN '✅' ELSE '❌' END
+                 WHEN pct >= min_pct THEN '✅' WHEN pct >= min_pct * 0.5 THEN '⚠️' ELSE '❌' END AS status FROM rpct)"""
+
+
+_BI_FLAGS = ["final_tem_vista_mar", "final_tem_varanda", "final_tem_lazer", "gatilho_urgencia",
+             "alerta_oportunidade_ouro", "bool_vaga", "tag_vista_mar", "tem_piscina"]
+_CONST = ["valor_R$", "area_m2", "condominio_R$", "iptu_R$", "preco_m2", "custo_fixo_mensal", "yield_bruto_anual",
+          "score_conforto", "score_investimento", "anos_payback", "mcmv_faixa", "score_mobilidade",
+          "score_seguranca", "score_lifestyle", "dias_no_mercado"]
+
+register("bi_shape", with_bi(f'SELECT id_imovel, anuncio_criado, "valor_R$", coordenadas, {", ".join(_BI_FLAGS)} FROM bi'))
+register("field_rules", with_bi(rules_cte() + "\nSELECT * FROM rules"))
+register("health_verdict", with_bi(rules_cte() + """
+SELECT count_if(status = '✅') AS ok, count_if(status = '⚠️') AS avisos, count_if(status = '❌') AS problemas,
+       count(*) AS total,
+       CASE WHEN count_if(status = '❌') > 0 THEN '❌ REPROVADO — ' || count_if(status = '✅') || '/' || count(*) || ' campos OK'
+            WHEN count_if(status = '⚠️') > 0 THEN '⚠️ APROVADO COM RESSALVAS — ' || count_if(status = '✅') || '/' || count(*) || ' campos OK'
+            ELSE '✅ APROVADO — ' || count_if(status = '✅') || '/' || count(*) || ' campos OK' END AS veredito
+FROM rules"""))
+register("constant_columns", with_bi(", cagg AS (SELECT " + ", ".join(
+    f"min(CAST({_qc(c)} AS DOUBLE)) AS mn{i}, max(CAST({_qc(c)} AS DOUBLE)) AS mx{i}" for i, c in enumerate(_CONST))
+    + " FROM bi)\n" + " UNION ALL ".join(
+    f"SELECT {q(c)} AS coluna, mn{i} AS minimo, mx{i} AS maximo, CAST(coalesce(mn{i} = mx{i}, true) AS INTEGER) AS constante FROM cagg"
+    for i, c in enumerate(_CONST))))
+register("value_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+register("distribution_report", with_gold("""
+, dist AS (SELECT 'origem_geo' AS campo, coalesce(origem_geo, 'nan') AS valor FROM prof
+           UNION ALL SELECT 'tipo_imovel', coalesce(tipo_imovel, 'nan') FROM prof
+           UNION ALL SELECT 'status_construcao', coalesce(status_construcao, 'nan') FROM prof)
+SELECT campo, valor, count(*) AS n FROM dist GROUP BY campo, valor"""))
+
+
+def _means_sql(by: str) -> str:
+    return (f"SELECT {q(by)} AS dimensao, CAST({by} AS VARCHAR) AS grupo, count(*) AS n, {rnd('avg(valor)', 2)} AS media, "
+            f"{rnd('stddev_samp(valor)', 2)} AS desvio, {rnd('sum(valor) / sum(area_m2)', 4)} AS valor_m2 FROM silver GROUP BY {by}")
+
+
+register("group_means", with_silver("\n" + " UNION ALL ".join(_means_sql(b) for b in ("quartos", "vagas", "bairro"))))
+
+_SUMMARY = ["valor", "area_m2", "condominio", "iptu", "preco_m2"]
+register("summary_quantiles", with_silver(", sagg AS (SELECT " + ", ".join(
+    f"count({c}) AS n{i}, count_if({c} IS NULL) AS z{i}, avg({c}) AS a{i}, stddev_samp({c}) AS s{i}, min({c}) AS lo{i}, "
+    f"max({c}) AS hi{i}, quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75, 0.9]) AS q{i}" for i, c in enumerate(_SUMMARY))
+    + " FROM silver)\n" + " UNION ALL ".join(
+    f"SELECT {q(c)} AS coluna, n{i} AS n, z{i} AS nulos, {rnd(f'a{i}', 4)} AS media, {rnd(f's{i}', 4)} AS desvio, "
+    f"{rnd(f'lo{i}', 4)} AS minimo, {rnd(f'q{i}[1]', 4)} AS q25, {rnd(f'q{i}[2]', 4)} AS mediana, {rnd(f'q{i}[3]', 4)} AS q75, "
+    f"{rnd(f'q{i}[4]', 4)} AS p90, {rnd(f'hi{i}', 4)} AS maximo, {rnd(f'q{i}[1] - 1.5 * (q{i}[3] - q{i}[1])', 4)} AS bigode_inf, "
+    f"{rnd(f'q{i}[3] + 1.5 * (q{i}[3] - q{i}[1])', 4)} AS bigode_sup FROM sagg" for i, c in enumerate(_SUMMARY))))
+
+_PAIRS = [("valor", "area_m2"), ("valor", "quartos"), ("preco_m2", "area_m2"), ("latitude", "longitude"), ("valor", "condominio")]
+register("correlations", with_silver(", cagg AS (SELECT " + ", ".join(f"corr({a}, {b}) AS c{i}" for i, (a, b) in enumerate(_PAIRS))
+    + " FROM silver)\n" + " UNION ALL ".join(
+    f"SELECT {q(a)} AS x, {q(b)} AS y, {rnd(f'c{i}', 6)} AS r, {rnd(f'pow(c{i}, 2)', 6)} AS r2 FROM cagg"
+    for i, (a, b) in enumerate(_PAIRS))))
+register("target_histogram", with_silver("""
+, hx AS (SELECT CAST(valor AS DOUBLE) AS x FROM silver WHERE valor IS NOT NULL),
+hm AS (SELECT min(x) AS lo, max(x) AS hi FROM hx)
+SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((x - lo) / (hi - lo) * 50) + 1, 50) END AS INTEGER) AS bin,
+       count(*) AS n, min(x) AS x_min, max(x) AS x_max
+FROM hx, hm GROUP BY 1"""))
+_NORM = "sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), lambda a, b: a + b))"
+register("cluster_profile", f"""
+SELECT label AS cluster_id, count(*) AS n, {rnd('avg(CAST(embedding[1] AS DOUBLE))', 4)} AS media_x0,
+       {rnd(f'avg({_NORM})', 4)} AS media_norma FROM embeddings GROUP BY label""")
+register("top_anomalies", f"""
+SELECT row_number() OVER (ORDER BY score DESC, vec_id) AS rank, vec_id, label, {rnd('score', 4)} AS score FROM (
+  SELECT vec_id, label, {_NORM} AS score FROM embeddings ORDER BY score DESC, vec_id LIMIT 50)""")
+register("opportunity_rank", with_gold("""
+SELECT row_number() OVER (ORDER BY diferenca_percentual, id_imovel) AS rank, id_imovel, bairro, zona, valor,
+       diferenca_percentual AS delta_pct,
+       CASE WHEN diferenca_percentual < -40 THEN '🔥🔥🔥 EXCEPCIONAL' WHEN diferenca_percentual < -25 THEN '🔥🔥 FORTE'
+            ELSE '🔥 MODERADA' END AS nivel
+FROM (SELECT * FROM prof WHERE diferenca_percentual < -15 ORDER BY diferenca_percentual, id_imovel LIMIT 50)"""))
+register("opportunities_by_zone", with_gold("SELECT zona, count(*) AS n FROM prof WHERE diferenca_percentual < -15 GROUP BY zona"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quadra.operators import price, quality
@@ -59,3 +60,202 @@ def q_supply_alert(spark, sf_dir):
     return price.street_supply(silver(spark, sf_dir)).select(
         "id_imovel", "bairro", "rua", F.col("qtd_na_rua").cast("bigint").alias("qtd_na_rua"),
         r("media_ofertas_por_rua_no_bairro", 4), "alerta_oferta_rua")
+
+
+# ----------------------------------------------------------------------------- enrichment chain
+from quadra import dims  # noqa: E402
+from quadra.plans.pipeline import gold  # noqa: E402
+
+GEO_OUT = [c for _, d, n in dims.GEO_COLUMNS for c in (d, n)] + ["dist_transporte_km", "transporte_prox"]
+MCMV_OUT = ["mcmv_faixa", "mcmv_elegivel", "mcmv_teto", "mcmv_subsidio", "mcmv_entrada", "mcmv_financiado",
+            "mcmv_juros_aa", "mcmv_sac_1a", "mcmv_sac_ult", "mcmv_sac_juros_total", "mcmv_price_parcela",
+            "mcmv_price_juros_total", "mcmv_renda_min_sac", "mcmv_renda_min_price", "mcmv_economia",
+            "mcmv_faixa_label"]
+MERC_OUT = ["merc_entrada", "merc_financiado", "merc_juros_aa", "merc_sac_1a", "merc_sac_ult", "merc_sac_juros_total",
+            "merc_price_parcela", "merc_price_juros_total", "merc_renda_min_sac", "merc_renda_min_price",
+            "merc_modalidade"]
+CASH_OUT = ["itbi_estimado", "cartorio_estimado", "custo_aquisicao_total", "custo_fixo_mensal", "aluguel_estimado",
+            "fluxo_caixa_mensal", "yield_bruto_anual", "anos_payback", "payback_classificacao"]
+PROFILE_OUT = ["perfil_familia", "perfil_investidor", "perfil_primeiro_imovel", "perfil_familia_label",
+               "perfil_investidor_label", "perfil_primeiro_imovel_label"]
+
+
+def _gold(*cols):
+    def fn(spark, sf_dir):
+        return gold(spark, sf_dir).select("id_imovel", *cols)
+    return fn
+
+
+QUERIES["nearest_poi"] = _gold(*GEO_OUT)
+QUERIES["geo_scores"] = _gold("score_mobilidade", "score_seguranca", "score_lifestyle", "vocacao_airbnb")
+QUERIES["finance_scenarios"] = _gold(*MCMV_OUT, *MERC_OUT)
+QUERIES["cash_flow_payback"] = _gold(*CASH_OUT)
+QUERIES["investment_score"] = _gold("diferenca_percentual", "dist_transporte_km", "score_investimento")
+QUERIES["finance_summary"] = _gold("resumo_financeiro")
+QUERIES["quintile_segments"] = _gold("valor", "area_m2", "segmento_mercado", "perfil_tamanho")
+QUERIES["days_on_market"] = _gold("anuncio_criado", "dias_no_mercado", "status_temporal")
+QUERIES["text_tags"] = _gold(*[n for n, _ in dims.TAGS])
+QUERIES["urgency_gold"] = _gold("gatilho_urgencia", "alerta_oportunidade_ouro")
+QUERIES["comfort_index"] = _gold("score_conforto")
+QUERIES["zone_lookup"] = _gold("bairro", "zona")
+QUERIES["bands_floor_age"] = _gold("faixa_preco", "andar_classificacao", "idade_estimada")
+QUERIES["ad_quality"] = _gold("score_qualidade_anuncio")
+QUERIES["audience_profiles"] = _gold(*PROFILE_OUT)
+
+
+# ----------------------------------------------------------------------------- deeds (phase 14)
+from quadra.sources.files import normalise_deeds  # noqa: E402
+from quadra.sources.listing_view import deed_view  # noqa: E402
+
+DEED_OUT = ["escritura_valor_medio", "escritura_valor_mediano", "escritura_preco_m2_medio",
+            "escritura_total_transacoes", "escritura_ano_mais_recente", "escritura_ano_mais_antigo",
+            "escritura_valorizacao_pct"]
+
+
+def deed_table(spark, sf_dir):
+    return price.deed_stats(normalise_deeds(deed_view(spark, sf_dir)))
+
+
+@query
+def q_deed_trend(spark, sf_dir):
+    """A5 + A6 + F7 + J7: per-bairro deed statistics with the appreciation trend."""
+    return deed_table(spark, sf_dir).select("bairro", *DEED_OUT)
+
+
+@query
+def q_deed_stats(spark, sf_dir):
+    """J5 + D6: deed statistics joined to every listing and the asking-price gap."""
+    df = price.join_deeds(silver(spark, sf_dir), deed_table(spark, sf_dir))
+    return df.select("id_imovel", "bairro", "valor", *DEED_OUT, "delta_escritura_pct")
+
+
+# ----------------------------------------------------------------------------- BI, data quality, statistics
+from quadra.operators import dq, stats  # noqa: E402
+
+BI_FLAGS = ["final_tem_vista_mar", "final_tem_varanda", "final_tem_lazer", "gatilho_urgencia",
+            "alerta_oportunidade_ouro", "bool_vaga", "tag_vista_mar", "tem_piscina"]
+CONST_COLS = ["valor_R$", "area_m2", "condominio_R$", "iptu_R$", "preco_m2", "custo_fixo_mensal", "yield_bruto_anual",
+              "score_conforto", "score_investimento", "anos_payback", "mcmv_faixa", "score_mobilidade",
+              "score_seguranca", "score_lifestyle", "dias_no_mercado"]
+SUMMARY_COLS = ["valor", "area_m2", "condominio", "iptu", "preco_m2"]
+CORR_PAIRS = [("valor", "area_m2"), ("valor", "quartos"), ("preco_m2", "area_m2"), ("latitude", "longitude"),
+              ("valor", "condominio")]
+
+
+def bi(spark, sf_dir):
+    return dq.to_bi(gold(spark, sf_dir))
+
+
+@query
+def q_bi_shape(spark, sf_dir):
+    """B1-B4 + N36."""
+    return bi(spark, sf_dir).select("id_imovel", "anuncio_criado", "valor_R$", "coordenadas", *BI_FLAGS)
+
+
+@query
+def q_field_rules(spark, sf_dir):
+    """Q1-Q7 + A10 over the BI table."""
+    return dq.field_rules(bi(spark, sf_dir))
+
+
+@query
+def q_health_verdict(spark, sf_dir):
+    """Q9."""
+    return dq.verdict(dq.field_rules(bi(spark, sf_dir)))
+
+
+@query
+def q_constant_columns(spark, sf_dir):
+    """A8 + Q8."""
+    return dq.constant_columns(bi(spark, sf_dir), CONST_COLS)
+
+
+@query
+def q_value_counts(spark, sf_dir):
+    """A7 over the events stream table."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return dq.value_counts(ev, "event_type")
+
+
+@query
+def q_distribution_report(spark, sf_dir):
+    """Q10: geo origin / type / status distribution in long form (one shuffle)."""
+    g = gold(spark, sf_dir)
+    pairs = F.array(*[F.struct(F.lit(c).alias("campo"), F.coalesce(F.col(c), F.lit("nan")).alias("valor"))
+                      for c in ("origem_geo", "tipo_imovel", "status_construcao")])
+    return g.select(F.inline(pairs)).groupBy("campo", "valor").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _means(df, by):
+    out = stats.group_means(df, by)
+    return out.select(F.lit(by).alias("dimensao"), F.col(by).cast("string").alias("grupo"), "n",
+                      F.bround("media", 2).alias("media"), F.bround("desvio", 2).alias("desvio"),
+                      F.bround("valor_m2", 4).alias("valor_m2"))
+
+
+@query
+def q_group_means(spark, sf_dir):
+    """A11 + A16 + A17."""
+    s = silver(spark, sf_dir)
+    return _means(s, "quartos").unionByName(_means(s, "vagas")).unionByName(_means(s, "bairro"))
+
+
+@query
+def q_summary_quantiles(spark, sf_dir):
+    """A9 + A12 + A13 + A15 + A21."""
+    out = stats.summary(silver(spark, sf_dir), SUMMARY_COLS)
+    return out.select("coluna", "n", "nulos", *[F.bround(c, 4).alias(c) for c in
+                      ("media", "desvio", "minimo", "q25", "mediana", "q75", "p90", "maximo", "bigode_inf", "bigode_sup")])
+
+
+@query
+def q_correlations(spark, sf_dir):
+    """A14 + A22."""
+    out = stats.correlations(silver(spark, sf_dir), CORR_PAIRS)
+    return out.select("x", "y", F.bround("r", 6).alias("r"), F.bround("r2", 6).alias("r2"))
+
+
+@query
+def q_target_histogram(spark, sf_dir):
+    """A23 (linear bins of the price)."""
+    return stats.histogram(silver(spark, sf_dir), "valor", 50)
+
+
+def _norm(col="embedding"):
+    return F.sqrt(F.aggregate(col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+
+
+@query
+def q_cluster_profile(spark, sf_dir):
+    """A19 (embedding label as the cluster id): size, mean first component, mean vector norm."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return e.groupBy(F.col("label").alias("cluster_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.bround(F.avg(F.get("embedding", 0).cast("double")), 4).alias("media_x0"),
+        F.bround(F.avg(_norm()), 4).alias("media_norma"))
+
+
+@query
+def q_top_anomalies(spark, sf_dir):
+    """O2 + W4: the 50 largest-norm vectors (a top-k report), ranked."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "label", _norm().alias("score"))
+    top = e.orderBy(F.desc("score"), "vec_id").limit(50)  # TakeOrderedAndProject: bounded per task
+    w = Window.orderBy(F.desc("score"), "vec_id")           # over the 50 kept rows only
+    return top.select(F.row_number().over(w).alias("rank"), "vec_id", "label", F.bround("score", 4).alias("score"))
+
+
+@query
+def q_opportunity_rank(spark, sf_dir):
+    """O1 + W4 + Q11: listings priced > 15 % under their reference, top 50 by gap."""
+    g = gold(spark, sf_dir).filter(F.col("diferenca_percentual") < -15)
+    top = g.orderBy("diferenca_percentual", "id_imovel").limit(50)
+    w = Window.orderBy("diferenca_percentual", "id_imovel")
+    return top.select(F.row_number().over(w).alias("rank"), "id_imovel", "bairro", "zona", "valor",
+                      F.col("diferenca_percentual").alias("delta_pct"),
+                      dq.opportunity_level("diferenca_percentual").alias("nivel"))
+
+
+@query
+def q_opportunities_by_zone(spark, sf_dir):
+    """Opportunities per zone."""
+    g = gold(spark, sf_dir).filter(F.col("diferenca_percentual") < -15)
+    return g.groupBy("zona").agg(F.count(F.lit(1)).alias("n"))

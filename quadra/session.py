@@ -15,6 +15,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.shuffle.partitions": "8",
+    # wide listing rows (~150 columns) must stay inside whole-stage codegen
+    "spark.sql.codegen.maxFields": "1000",
 }
 
 

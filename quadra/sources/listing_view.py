@@ -127,12 +127,25 @@ def load_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Data
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a fact scan at least ``defaultParallelism`` partitions.
+
+    A file written as one row group is read by one task however many cores
+    exist; big inputs (many row groups / files) already split and are left
+    alone, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def listing_view(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
     """Raw listings (duplicates included) with the dedup order columns."""
     t = load_tables(spark, sf_dir, "lineitem", "supplier", "nation")
     sup = t["supplier"].select("s_suppkey", "s_name", "s_nationkey")
     nat = F.broadcast(t["nation"].select("n_nationkey", "n_name"))  # fixed 25 rows
-    base = (t["lineitem"]
+    base = (spread(t["lineitem"])
             .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(nat, F.col("s_nationkey") == F.col("n_nationkey")))
     proj = [F.expr(e).alias(n) for n, e in column_exprs("spark")]
@@ -152,3 +165,32 @@ def listing_view_sql() -> str:
 
 def listing_order_sql() -> str:
     return ", ".join(ORDER_COLS)
+
+
+# ----------------------------------------------------------------------------- deeds (orders ⋈ customer ⋈ nation)
+
+def deed_exprs(dialect: str) -> list[tuple[str, str]]:
+    return [
+        ("bairro", f"CASE WHEN c_custkey % 5 = 4 THEN n_name ELSE {_pick(BAIRRO_POOL, 'c_custkey % 20', dialect)} END"),
+        ("ano_transacao", "CAST(year(o_orderdate) AS INT)"),
+        ("media_valor_transacao", _d("o_totalprice * 8")),
+        ("media_valor_imovel", _d("o_totalprice * 9")),
+        ("media_area_terreno", _d("(o_custkey % 50) * 10")),
+        ("total_transacoes", "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_orderkey % 7 AS BIGINT) END"),
+    ]
+
+
+def deed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw deed records (header already canonical) derived from orders."""
+    t = load_tables(spark, sf_dir, "orders", "customer", "nation")
+    cust = t["customer"].select("c_custkey", "c_nationkey")
+    nat = F.broadcast(t["nation"].select("n_nationkey", "n_name"))  # fixed 25 rows
+    base = (spread(t["orders"]).join(cust, F.col("o_custkey") == F.col("c_custkey"))
+            .join(nat, F.col("c_nationkey") == F.col("n_nationkey")))
+    return base.select(*[F.expr(e).alias(n) for n, e in deed_exprs("spark")])
+
+
+def deed_view_sql() -> str:
+    cols = ", ".join(f"{e} AS {n}" for n, e in deed_exprs("duckdb"))
+    return (f"SELECT {cols} FROM orders JOIN customer ON o_custkey = c_custkey "
+            "JOIN nation ON c_nationkey = n_nationkey")
