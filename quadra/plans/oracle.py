@@ -576,3 +576,120 @@ SELECT row_number() OVER (ORDER BY diferenca_percentual, id_imovel) AS rank, id_
             ELSE '🔥 MODERADA' END AS nivel
 FROM (SELECT * FROM prof WHERE diferenca_percentual < -15 ORDER BY diferenca_percentual, id_imovel LIMIT 50)"""))
 register("opportunities_by_zone", with_gold("SELECT zona, count(*) AS n FROM prof WHERE diferenca_percentual < -15 GROUP BY zona"))
+
+
+# ----------------------------------------------------------------------------- text extraction
+
+def _dec(x: str) -> str:
+    """Brazilian money text -> double."""
+    wp = f"regexp_extract({x}, 'R\\$[\\s\\x{{00A0}}]*([0-9.,]+)', 1)"
+    pl = f"regexp_extract({x}, '([0-9]+(?:\\.[0-9]{{3}})*(?:,[0-9]{{1,2}})?)', 1)"
+    conv = lambda s: f"TRY_CAST(replace(replace({s}, '.', ''), ',', '.') AS DOUBLE)"
+    first = f"CASE WHEN {wp} <> '' THEN {conv(wp)} END"
+    fb = f"CASE WHEN {pl} <> '' AND {conv(pl)} > 0 THEN {conv(pl)} END"
+    return f"coalesce({first}, {fb}, 0.0)"
+
+
+def _num(x: str) -> str:
+    d = f"regexp_replace({x}, '[^0-9]', '', 'g')"
+    return f"coalesce(CASE WHEN length({d}) > 0 THEN TRY_CAST({d} AS BIGINT) END, 0)"
+
+
+def _ptdate(x: str) -> str:
+    pat = "(?i)([0-9]{1,2})\\s+de\\s+([A-Za-zç]+)\\s+de\\s+([0-9]{4})"
+    m = f"regexp_extract({x}, '{pat}', 2)"
+    month = "CASE lower(" + m + ") " + " ".join(f"WHEN {q(n)} THEN {k}" for n, k in dims.MONTHS_PT) + " END"
+    d = f"regexp_extract({x}, '{pat}', 1)"
+    y = f"regexp_extract({x}, '{pat}', 3)"
+    return (f"CASE WHEN {d} <> '' AND ({month}) IS NOT NULL THEN printf('%04d-%02d-%02d', CAST({y} AS INTEGER), "
+            f"{month}, CAST({d} AS INTEGER)) ELSE {x} END")
+
+
+def _reldays(x: str, kind: str) -> str:
+    pat = (kind + "\\s+h[aá]\\s+([0-9]+)\\s+(dia|dias|semana|semanas|m[eê]s|meses|ano|anos|hora|horas|minuto|minutos)")
+    low = f"lower({x})"
+    n = f"regexp_extract({low}, '{pat}', 1)"
+    u = f"regexp_extract({low}, '{pat}', 2)"
+    mult = (f"CASE WHEN contains({u}, 'hora') OR contains({u}, 'minuto') THEN 0 WHEN contains({u}, 'dia') THEN 1 "
+            f"WHEN contains({u}, 'semana') THEN 7 WHEN regexp_matches({u}, 'm[eê]s|meses') THEN 30 "
+            f"WHEN contains({u}, 'ano') THEN 365 ELSE 0 END")
+    return f"coalesce(CASE WHEN {n} <> '' THEN TRY_CAST({n} AS INTEGER) * {mult} END, 0)"
+
+
+def _stype(w: str) -> str:
+    return "CASE upper(" + w + ") " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in dims.STREET_TYPES.items()) + " END"
+
+
+def _norm_street(x: str) -> str:
+    raw = f"trim(coalesce({x}, ''))"
+    after = f"upper(trim(regexp_extract({raw}, '^.*,(.*)$', 1)))"
+    tail = f"CASE WHEN contains({raw}, ',') AND ({_stype(after)}) IS NOT NULL THEN {after} END"
+    first = f"trim(regexp_replace(trim(split_part({raw}, '/', 1)), ',+$', ''))"
+    slashed = f"CASE WHEN ({tail}) IS NOT NULL AND NOT contains({first}, ',') THEN {first} || ', ' || ({tail}) ELSE {first} END"
+    s0 = f"CASE WHEN contains({raw}, '/') THEN {slashed} ELSE {raw} END"
+    return s0
+
+
+def text_ctes() -> str:
+    tv = lv.text_view_sql()
+    cond = "regexp_extract(custos_texto, '(?i)Cond\\.[\\s\\x{00A0}]*(R\\$[\\s\\x{00A0}]*[0-9.,]+)', 1)"
+    iptu = "regexp_extract(custos_texto, '(?i)IPTU[\\s\\x{00A0}]*(R\\$[\\s\\x{00A0}]*[0-9.,]+)', 1)"
+    rpat = "([0-9]+(?:\\.[0-9]+)?)/[0-9]+\\s*\\(([0-9]+)"
+    part = trim("replace(split_part(data_texto, ',', 1), 'Anúncio criado em', '')")
+    loc = "coalesce(loc_texto, '')"
+    rest = f"regexp_extract({loc}, '^.*? em (.*)$', 1)"
+    mu = "replace(replace(coalesce(mapa_url, ''), '%2C', ','), '%2c', ',')"
+    mpat = "[?&]q=(-?[0-9]{1,3}\\.[0-9]+),(-?[0-9]{1,3}\\.[0-9]+)"
+    fx = trim("coalesce(faixa_texto, '')")
+    e = "coalesce(endereco_completo, '')"
+    rest8 = f"regexp_extract({e}, '^(.*) - (.*)$', 1)"
+    bc = f"trim(regexp_extract({rest8}, '^(.*) - (.*)$', 2))"
+    rua8 = f"trim(split_part(trim(regexp_extract({rest8}, '^(.*) - (.*)$', 1)), ',', 1))"
+    ok8 = f"(contains({e}, ' - ') AND contains({rest8}, ' - '))"
+    return f"""
+tv AS ({tv}),
+t1 AS (SELECT *, {_norm_street('endereco_prefeitura')} AS _s0 FROM tv),
+t2 AS (SELECT *, trim(regexp_replace(_s0, '(?i),?\\s*ENTRE\\s+.*$', '')) AS _s FROM t1),
+t3 AS (SELECT *, regexp_split_to_array(_s, '\\s+') AS _w FROM t2),
+parsed AS (SELECT url,
+  {_dec('preco_texto')} AS valor_txt, {_num("faixa_texto")} AS digitos,
+  CASE WHEN {cond} <> '' THEN {_dec(cond)} ELSE 0.0 END AS cond_txt,
+  CASE WHEN {iptu} <> '' THEN {_dec(iptu)} ELSE 0.0 END AS iptu_txt,
+  CASE WHEN regexp_extract(rating_texto, '{rpat}', 1) <> '' THEN TRY_CAST(regexp_extract(rating_texto, '{rpat}', 1) AS DOUBLE) ELSE 0.0 END AS nota_txt,
+  CASE WHEN regexp_extract(rating_texto, '{rpat}', 2) <> '' THEN TRY_CAST(regexp_extract(rating_texto, '{rpat}', 2) AS INTEGER) ELSE 0 END AS avaliacoes_txt,
+  CASE WHEN coalesce(data_texto, '') <> '' THEN {_ptdate(part)} ELSE '{lv.AS_OF}' END AS criado_txt,
+  {_reldays('publicacao_texto', 'publicado')} AS dias_pub_txt, {_reldays('publicacao_texto', 'atualizado')} AS dias_atu_txt,
+  CASE WHEN contains({loc}, ' em ') THEN split_part({loc}, ' em ', 1) ELSE 'Indefinido' END AS tipo_card,
+  CASE WHEN contains({loc}, ' em ') THEN trim(split_part({rest}, ',', 1)) ELSE {loc} END AS bairro_card,
+  CASE WHEN contains({loc}, ' em ') THEN trim(CASE WHEN contains({rest}, ',') THEN regexp_extract({rest}, '^[^,]*,(.*)$', 1) ELSE '' END)
+       ELSE 'Rio de Janeiro' END AS cidade_card,
+  CASE WHEN regexp_extract({mu}, '{mpat}', 1) <> '' THEN TRY_CAST(regexp_extract({mu}, '{mpat}', 1) AS DOUBLE) ELSE 0.0 END AS lat_url,
+  CASE WHEN regexp_extract({mu}, '{mpat}', 2) <> '' THEN TRY_CAST(regexp_extract({mu}, '{mpat}', 2) AS DOUBLE) ELSE 0.0 END AS lon_url,
+  coalesce(TRY_CAST(string_split({fx}, '-')[1] AS INTEGER), 1) AS quartos_min,
+  coalesce(TRY_CAST(string_split({fx}, '-')[2] AS INTEGER), TRY_CAST(string_split({fx}, '-')[1] AS INTEGER), 1) AS quartos_max,
+  trim(regexp_extract({e}, '([^-]*)$', 1)) AS estado_g0, {_num(e)} AS numero_g0,
+  CASE WHEN length(_s) > 0 AND ({_stype("regexp_replace(upper(_w[1]), ',+$', '')")}) IS NOT NULL
+         THEN ({_stype("regexp_replace(upper(_w[1]), ',+$', '')")}) || ' ' || {title("array_to_string(_w[2:], ' ')")}
+       WHEN contains(_s, ',') AND ({_stype("trim(regexp_extract(_s, '^(.*),(.*)$', 2))")}) IS NOT NULL
+         THEN ({_stype("trim(regexp_extract(_s, '^(.*),(.*)$', 2))")}) || ' ' || {title("trim(regexp_extract(_s, '^(.*),(.*)$', 1))")}
+       WHEN len(_w) >= 2 AND ({_stype("_w[-1]")}) IS NOT NULL
+         THEN ({_stype("_w[-1]")}) || ' ' || {title("array_to_string(_w[1:len(_w) - 1], ' ')")}
+       ELSE {title('_s')} END AS logradouro_norm,
+  CASE WHEN contains({e}, ' - ') THEN trim(regexp_extract({e}, '^(.*) - (.*)$', 2)) ELSE 'RJ' END AS uf,
+  CASE WHEN {ok8} THEN CASE WHEN contains({bc}, ', ') THEN trim(regexp_extract({bc}, '^(.*), (.*)$', 1)) ELSE {bc} END END AS bairro_end,
+  CASE WHEN {ok8} THEN CASE WHEN contains({bc}, ', ') THEN trim(regexp_extract({bc}, '^(.*), (.*)$', 2)) ELSE 'Rio de Janeiro' END END AS cidade_end,
+  CASE WHEN {ok8} AND length({rua8}) > 3 THEN {rua8} END AS rua_end
+FROM t3)"""
+
+
+_TEXT_GROUPS = {
+    "money_numbers": ["valor_txt", "digitos", "nota_txt", "avaliacoes_txt"],
+    "dates_relative": ["criado_txt", "dias_pub_txt", "dias_atu_txt"],
+    "address_parse": ["tipo_card", "bairro_card", "cidade_card", "uf", "bairro_end", "cidade_end", "rua_end",
+                      "estado_g0", "numero_g0"],
+    "address_normalise": ["logradouro_norm"],
+    "coords_cost_rating": ["lat_url", "lon_url", "cond_txt", "iptu_txt"],
+    "range_split": ["quartos_min", "quartos_max"],
+}
+for _k, _cols in _TEXT_GROUPS.items():
+    register(_k, "WITH " + text_ctes() + f"\nSELECT url, {', '.join(_cols)} FROM parsed")

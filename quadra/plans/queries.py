@@ -259,3 +259,28 @@ def q_opportunities_by_zone(spark, sf_dir):
     """Opportunities per zone."""
     g = gold(spark, sf_dir).filter(F.col("diferenca_percentual") < -15)
     return g.groupBy("zona").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ----------------------------------------------------------------------------- text extraction
+from quadra.operators import extract  # noqa: E402
+from quadra.sources.listing_view import AS_OF, text_view  # noqa: E402
+
+TEXT_GROUPS = {
+    "money_numbers": ["valor_txt", "digitos", "nota_txt", "avaliacoes_txt"],
+    "dates_relative": ["criado_txt", "dias_pub_txt", "dias_atu_txt"],
+    "address_parse": ["tipo_card", "bairro_card", "cidade_card", "uf", "bairro_end", "cidade_end", "rua_end",
+                      "estado_g0", "numero_g0"],
+    "address_normalise": ["logradouro_norm"],
+    "coords_cost_rating": ["lat_url", "lon_url", "cond_txt", "iptu_txt"],
+    "range_split": ["quartos_min", "quartos_max"],
+}
+
+
+def _text_query(cols):
+    def fn(spark, sf_dir):
+        return extract.parse_listing_text(text_view(spark, sf_dir), AS_OF).select("url", *cols)
+    return fn
+
+
+for _k, _cols in TEXT_GROUPS.items():
+    QUERIES[_k] = _text_query(_cols)

@@ -194,3 +194,71 @@ def deed_view_sql() -> str:
     cols = ", ".join(f"{e} AS {n}" for n, e in deed_exprs("duckdb"))
     return (f"SELECT {cols} FROM orders JOIN customer ON o_custkey = c_custkey "
             "JOIN nation ON c_nationkey = n_nationkey")
+
+
+# ----------------------------------------------------------------------------- collected text (parsers' input)
+
+MONTH_NAMES = [m for m, _ in dims.MONTHS_PT]
+# The nine address forms of the city register (docstring cases of the normaliser).
+REGISTER_ADDRESSES = [
+    "FELISBELO FREIRE, RUA", "JOSE RUCAS, ETR", "VICENTE DE CARVALHO, AVN", "NICARAGUA, PCA", "RUA TEREZINA",
+    "LARGO DO ANIL", "TADEU KOSCIUSKO / CARLOS SAMPAIO, RUA", "EPITÁCIO PESSOA AV, ENTRE VISC. DE PIRAJA",
+    "ARNO KONDER, RUA / GOV. IRINEU BORNHAUSEN",
+]
+
+
+def _br(v: str, dialect: str) -> str:
+    div = "div" if dialect == "spark" else "//"
+    return (f"CASE WHEN ({v}) >= 1000 THEN CAST(({v}) {div} 1000 AS STRING) || '.' || "
+            f"lpad(CAST(({v}) % 1000 AS STRING), 3, '0') ELSE CAST(({v}) AS STRING) END")
+
+
+def text_exprs(dialect: str) -> list[tuple[str, str]]:
+    v = "CAST(floor(l_extendedprice) AS BIGINT)"
+    cents = "lpad(CAST(l_partkey % 100 AS STRING), 2, '0')"
+    nbsp = " "
+    lat = dict(column_exprs(dialect))["latitude"]
+    lon = dict(column_exprs(dialect))["longitude"]
+    bairro = dict(column_exprs(dialect))["bairro"]
+    return [
+        ("preco_texto", f"CASE l_linenumber % 4 WHEN 0 THEN 'R$ ' || {_br(v, dialect)} || ',' || {cents} "
+                        f"WHEN 1 THEN 'R${nbsp}' || {_br(v, dialect)} "
+                        f"WHEN 2 THEN 'Venda ' || {_br(v, dialect)} || ',' || {cents} || ' reais' ELSE 'Sob consulta' END"),
+        ("custos_texto", f"'Cond. R$ ' || {_br('(l_suppkey % 20) * 150', dialect)} || ' • IPTU R$ ' || "
+                         f"{_br('(l_partkey % 30) * 100', dialect)}"),
+        ("rating_texto", "CAST(l_suppkey % 5 AS STRING) || '.' || CAST(l_partkey % 10 AS STRING) || '/5 (' || "
+                         "CAST(l_orderkey % 40 AS STRING) || ' avaliações)'"),
+        ("data_texto", f"CASE WHEN l_partkey % 10 = 0 THEN 'Anúncio criado em data indisponível' ELSE "
+                       f"'Anúncio criado em ' || CAST(day(l_shipdate) AS STRING) || ' de ' || "
+                       f"{_pick(MONTH_NAMES, 'month(l_shipdate) - 1', dialect)} || ' de ' || "
+                       f"CAST(year(l_shipdate) AS STRING) || ', atualizado há 2 dias' END"),
+        ("mapa_url", f"CASE WHEN l_partkey % 89 = 0 THEN 'https://maps.x/embed?z=15' ELSE "
+                     f"'https://maps.x/embed?z=15&q=' || CAST({lat} AS STRING) || '%2C' || CAST({lon} AS STRING) END"),
+        ("loc_texto", f"CASE WHEN l_partkey % 9 = 0 THEN {bairro} ELSE 'Apartamento para comprar em ' || {bairro} "
+                      f"|| ', Rio de Janeiro' END"),
+        ("faixa_texto", "CASE l_partkey % 3 WHEN 0 THEN CAST(l_linenumber AS STRING) || '-' || "
+                        "CAST(l_linenumber + 2 AS STRING) WHEN 1 THEN CAST(l_linenumber AS STRING) ELSE '' END"),
+        ("endereco_prefeitura", _pick(REGISTER_ADDRESSES, "l_partkey % 9", dialect)),
+    ]
+
+
+def text_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listing rows plus the collected text fields the parsers read."""
+    t = load_tables(spark, sf_dir, "lineitem", "supplier", "nation")
+    sup = t["supplier"].select("s_suppkey", "s_name", "s_nationkey")
+    nat = F.broadcast(t["nation"].select("n_nationkey", "n_name"))
+    base = (spread(t["lineitem"]).join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(nat, F.col("s_nationkey") == F.col("n_nationkey")))
+    keep = ["url", "endereco_completo", "publicacao_texto"]
+    cols = dict(column_exprs("spark"))
+    return base.select(*[F.expr(cols[c]).alias(c) for c in keep],
+                       *[F.expr(e).alias(n) for n, e in text_exprs("spark")],
+                       F.struct(*ORDER_COLS).alias("src_order"))
+
+
+def text_view_sql() -> str:
+    cols = dict(column_exprs("duckdb"))
+    keep = ", ".join(f"{cols[c]} AS {c}" for c in ["url", "endereco_completo", "publicacao_texto"])
+    extra = ", ".join(f"{e} AS {n}" for n, e in text_exprs("duckdb"))
+    return (f"SELECT {keep}, {extra}, {', '.join(ORDER_COLS)} FROM lineitem JOIN supplier ON l_suppkey = s_suppkey "
+            "JOIN nation ON s_nationkey = n_nationkey")
