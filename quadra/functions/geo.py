@@ -66,5 +66,6 @@ def nearest(lat, lon, points) -> Column:
 def k_nearest(lat, lon, points, k: int) -> Column:
     """First k POIs by (distance, order) as array<struct<dist(2 dp), name>>."""
     la, lo = _c(lat), _c(lon)
-    top = F.slice(F.array_sort(ranked_distances(la, lo, points)), 1, k)
+    valid = la.isNotNull() & lo.isNotNull() & (la != 0) & (lo != 0)
+    top = F.when(valid, F.slice(F.array_sort(ranked_distances(la, lo, points)), 1, k)).otherwise(F.array())
     return F.transform(top, lambda p: F.struct(F.bround(p["dist"], 2).alias("dist"), p["name"].alias("name")))

@@ -165,7 +165,7 @@ def geo_ctes(src: str) -> str:
             cols.append(f"coalesce(max(CASE WHEN n.category = {q(c)} THEN n.d END), CASE WHEN s.latitude <> 0 AND s.longitude <> 0 THEN NULL ELSE 999.0 END) AS d_{c}")
             cols.append(f"coalesce(max(CASE WHEN n.category = {q(c)} THEN n.name END), 'N/A') AS n_{c}")
         else:
-            cols.append(f"99.9 AS d_{c}")
+            cols.append(f"{D(99.9)} AS d_{c}")
             cols.append(f"'N/A' AS n_{c}")
     sel = []
     for c, dcol, ncol in dims.GEO_COLUMNS:
@@ -693,3 +693,69 @@ _TEXT_GROUPS = {
 }
 for _k, _cols in _TEXT_GROUPS.items():
     register(_k, "WITH " + text_ctes() + f"\nSELECT url, {', '.join(_cols)} FROM parsed")
+
+
+# ----------------------------------------------------------------------------- earlier generations, catalogues
+
+def _km1(c: str) -> str:
+    return f"printf('%.1f', {rnd(c, 1)})"
+
+
+register("top3_poi", with_gold(f""",
+h3 AS (SELECT id_imovel, name, {rnd('dist', 2)} AS d, row_number() OVER (PARTITION BY id_imovel ORDER BY dist, ord) AS rk
+       FROM cand WHERE category = 'saude_educacao'),
+h3a AS (SELECT id_imovel, string_agg(name, '; ' ORDER BY rk) AS top3,
+               string_agg(name || ' (' || {_km1('d')} || 'km)', ', ' ORDER BY rk) AS health FROM h3 WHERE rk <= 3 GROUP BY id_imovel)
+SELECT p.id_imovel, coalesce(h.top3, '') AS top3, concat_ws(' | ',
+   CASE WHEN contains(transporte_prox, 'BRT') OR contains(transporte_prox, 'Estação') THEN '🚌' ELSE '🚇' END || ' ' || transporte_prox || ' (' || {_km1('dist_transporte_km')} || 'km)',
+   CASE WHEN dist_mercado_km < 2.0 THEN '🛒' ELSE '⚠️🛒' END || ' ' || mercado_prox || ' (' || {_km1('dist_mercado_km')} || 'km)',
+   CASE WHEN dist_feira_km < 1.5 THEN '🍎 ' || feira_prox || ' (' || {_km1('dist_feira_km')} || 'km)' END,
+   '🏖️ ' || praia_prox || ' (' || {_km1('dist_praia_km')} || 'km)',
+   CASE WHEN dist_shopping_km < 4.0 THEN '🛍️ ' || shopping_prox || ' (' || {_km1('dist_shopping_km')} || 'km)' END,
+   '🏥/🎓 ' || coalesce(h.health, '')) AS itens_proximos
+FROM prof p LEFT JOIN h3a h ON p.id_imovel = h.id_imovel"""))
+
+
+def _legacy_sql() -> str:
+    from quadra.operators import nlp as _n
+    d = "dist_transporte_km"
+    jm = (1 + 0.105) ** (1 / 12) - 1
+    fin = "(coalesce(valor, 0) * 0.8)"
+    s1 = f"CASE WHEN {fin} > 0 THEN {rnd(f'{fin} / 420 + {fin} * {D(jm)}', 2)} ELSE 0.0 END"
+    walk = ("(CAST(dist_transporte_km < 1.5 AS INTEGER) + CAST(dist_mercado_km < 1.5 AS INTEGER) + CAST(dist_feira_km < 1.5 AS INTEGER)"
+            " + CAST(dist_lazer_km < 1.5 AS INTEGER) + CAST(dist_praia_km < 1.5 AS INTEGER) + CAST(dist_shopping_km < 1.5 AS INTEGER))")
+    sul = " OR ".join(f"contains(coalesce(bairro, 'nan'), {q(b)})" for b in ["Copacabana", "Ipanema", "Leblon", "Botafogo", "Flamengo"])
+    diff = "coalesce(diferenca_percentual, 0.0)"
+    fixed = "coalesce(custo_fixo_mensal, 0.0)"
+    tags = ", ".join(f"CAST(regexp_matches(lower(coalesce(descricao, 'nan')), {q(p)}) AS INTEGER) AS {n}" for n, p in _n.V1_TAGS)
+    return f"""
+SELECT id_imovel,
+  CAST(CASE WHEN {d} < 0.6 THEN 10.0 WHEN {d} < 1.5 THEN 8.0 ELSE greatest(0.0, 10 - {d} * 2) END AS DOUBLE) AS score_mobilidade_v1,
+  CAST(least(greatest(5.0 - CASE WHEN dist_risco_km < 0.5 THEN 4.0 WHEN dist_risco_km < 1.0 THEN 2.0 ELSE 0.0 END
+        + CASE WHEN dist_policia_km < 0.8 THEN 2.5 WHEN dist_policia_km < 2.0 THEN 1.0 ELSE 0.0 END, 0.0), 10.0) AS DOUBLE) AS score_seguranca_v1,
+  CASE WHEN {walk} >= 4 THEN 'Excelente (Tudo a pé)' WHEN {walk} >= 2 THEN 'Média' ELSE 'Baixa' END AS walkability,
+  CASE WHEN ({sul}) AND (dist_praia_km < 0.8 OR {d} < 0.5) THEN 'Altíssima' ELSE 'Baixa' END AS vocacao_airbnb_v1,
+  'https://www.google.com/maps/search/?api=1&query=' || CAST(latitude AS VARCHAR) || ',' || CAST(longitude AS VARCHAR) AS link_maps,
+  {rnd('coalesce(valor, 0) * 0.2', 2)} AS entrada_minima, {rnd(fin, 2)} AS valor_financiado,
+  {s1} AS primeira_parcela_estimada, {rnd(f'({s1}) / 0.3', 2)} AS renda_minima_familiar,
+  CAST(least(greatest(5.0 + CASE WHEN {diff} < -15 THEN 2.0 WHEN {diff} > 15 THEN -2.0 ELSE 0.0 END
+        + CASE WHEN {d} < 0.8 THEN 1.0 ELSE 0.0 END + CASE WHEN {fixed} < 1000 THEN 1.0 WHEN {fixed} > 2500 THEN -1.0 ELSE 0.0 END,
+        0.0), 10.0) AS DOUBLE) AS score_investimento_v1,
+  CAST(CASE WHEN valor <= 350000 THEN 0.0785 ELSE 0.105 END AS DOUBLE) AS juros_param,
+  {tags}
+FROM prof"""
+
+
+def _types_sql() -> str:
+    from quadra.operators import nlp as _n
+    low = "lower(coalesce(descricao, ''))"
+    words = ", ".join(f"CAST(regexp_matches({low}, {q(p)}) AS INTEGER) AS w_{n}" for n, p in _n.LEGACY_WORDS)
+    code = "CASE " + " ".join(f"WHEN regexp_matches({low}, {q(p)}) THEN {c}" for c, p in _n.LEGACY_TYPES) + " ELSE 9 END"
+    cls = ("CASE WHEN score_conforto >= 80 THEN '💎 Super Conforto (Premium)' WHEN score_conforto >= 60 THEN '🥇 Muito Confortável' "
+           "WHEN score_conforto >= 40 THEN '🥈 Padrão / Bom' WHEN score_conforto >= 20 THEN '🥉 Básico' "
+           "ELSE '⚠️ Simples / Precisa Melhorias' END")
+    return f"SELECT id_imovel, {words}, {code} AS tipo_codigo, {cls} AS classificacao_conforto FROM prof"
+
+
+register("legacy_variants", with_gold(_legacy_sql()))
+register("type_classifier", with_gold(_types_sql()))

@@ -284,3 +284,38 @@ def _text_query(cols):
 
 for _k, _cols in TEXT_GROUPS.items():
     QUERIES[_k] = _text_query(_cols)
+
+
+# ----------------------------------------------------------------------------- earlier generations, catalogues
+from quadra.operators import finance as fin_ops  # noqa: E402
+from quadra.operators import geo as geo_ops  # noqa: E402
+from quadra.operators import nlp as nlp_ops  # noqa: E402
+
+
+@query
+def q_top3_poi(spark, sf_dir):
+    """J9 + G8: three nearest health/education points and the nearby-services summary."""
+    g = geo_ops.nearby_summary(gold(spark, sf_dir))
+    return g.select("id_imovel", F.array_join(F.transform("top3_saude_educ", lambda p: p["name"]), "; ").alias("top3"),
+                    "itens_proximos")
+
+
+@query
+def q_legacy_variants(spark, sf_dir):
+    """E14-E16 + G7 + G9 + G10 + N27: first-generation scores, SAC scenario, tags and map link."""
+    g = gold(spark, sf_dir)
+    g = nlp_ops.extract_tags(g.drop(*[n for n, _ in nlp_ops.V1_TAGS if n in g.columns]), nlp_ops.V1_TAGS)
+    g = fin_ops.v1_investment_score(fin_ops.v1_finance(geo_ops.v1_scores(g)))
+    return g.select("id_imovel", "score_mobilidade_v1", "score_seguranca_v1", "walkability", "vocacao_airbnb_v1",
+                    "link_maps", "entrada_minima", "valor_financiado", "primeira_parcela_estimada",
+                    "renda_minima_familiar", "score_investimento_v1",
+                    fin_ops.two_rate(F.col("valor")).alias("juros_param"), *[n for n, _ in nlp_ops.V1_TAGS])
+
+
+@query
+def q_type_classifier(spark, sf_dir):
+    """N28 + N29 + N35: early amenity words, property-type code, comfort class."""
+    g = nlp_ops.legacy_words(gold(spark, sf_dir))
+    return g.select("id_imovel", *[f"w_{n}" for n, _ in nlp_ops.LEGACY_WORDS],
+                    nlp_ops.legacy_type_code().alias("tipo_codigo"),
+                    nlp_ops.comfort_class().alias("classificacao_conforto"))
