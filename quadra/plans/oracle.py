@@ -759,3 +759,9 @@ def _types_sql() -> str:
 
 register("legacy_variants", with_gold(_legacy_sql()))
 register("type_classifier", with_gold(_types_sql()))
+
+
+# ----------------------------------------------------------------------------- streaming
+register("stream_ingest", "SELECT event_id, user_id, event_type FROM events")
+register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+register("stream_counters", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

@@ -319,3 +319,36 @@ def q_type_classifier(spark, sf_dir):
     return g.select("id_imovel", *[f"w_{n}" for n, _ in nlp_ops.LEGACY_WORDS],
                     nlp_ops.legacy_type_code().alias("tipo_codigo"),
                     nlp_ops.comfort_class().alias("classificacao_conforto"))
+
+
+# ----------------------------------------------------------------------------- streaming (events as the arriving feed)
+import uuid as _uuid  # noqa: E402
+
+from quadra.streaming import ingest as st  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return st.source(spark, sf_dir, schema, glob="events.parquet")
+
+
+@query
+def q_stream_ingest(spark, sf_dir):
+    """ST1: events appended through a checkpointed file stream into a Parquet table."""
+    return st.ingest(_events_stream(spark, sf_dir)).select("event_id", "user_id", "event_type")
+
+
+@query
+def q_stream_dedup(spark, sf_dir):
+    """ST2: watermark-bounded dedup of (user, event type) arrivals."""
+    name = f"dedup_{_uuid.uuid4().hex[:8]}"
+    st.run_available(st.dedup(_events_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "1 hour"), name)
+    return spark.table(name).select("user_id", "event_type")
+
+
+@query
+def q_stream_counters(spark, sf_dir):
+    """ST3: running totals per event type (complete mode)."""
+    name = f"counters_{_uuid.uuid4().hex[:8]}"
+    st.run_available(st.counters(_events_stream(spark, sf_dir), "event_type"), name, mode="complete")
+    return spark.table(name)
