@@ -352,3 +352,41 @@ def q_stream_counters(spark, sf_dir):
     name = f"counters_{_uuid.uuid4().hex[:8]}"
     st.run_available(st.counters(_events_stream(spark, sf_dir), "event_type"), name, mode="complete")
     return spark.table(name)
+
+
+# ----------------------------------------------------------------------------- machine learning (rows-only checks)
+from quadra.operators import ml  # noqa: E402
+
+ML_FEATURES = ["area_m2", "quartos", "vagas", "banheiros", "condominio", "iptu", "latitude", "longitude",
+               "dist_praia_km", "dist_transporte_km"]
+
+
+@query
+def q_price_gbt(spark, sf_dir):
+    """M1-M3 + M11 + M12: fair-price GBT and the opportunity flag."""
+    p = ml.fair_price(gold(spark, sf_dir))
+    return p.select("id_imovel", "valor", "preco_estimado_ml", "delta_preco_ml_pct", "oportunidade_ml", "ml_r2_score")
+
+
+@query
+def q_clusters(spark, sf_dir):
+    """M13 + M14: k-means with the elbow rule and cluster labels."""
+    g = gold(spark, sf_dir)
+    out, k, _ = ml.kmeans_elbow(g.select("id_imovel", "valor", *ML_FEATURES), ML_FEATURES)
+    return ml.cluster_labels(out).select("id_imovel", "cluster_id", "cluster_label")
+
+
+@query
+def q_anomalies(spark, sf_dir):
+    """M15 + M16: isolation-forest score, 5 % flag and anomaly type (against the reference price)."""
+    g = gold(spark, sf_dir).withColumn("preco_estimado_ml", F.col("preco_m2_referencia") * F.col("area_m2"))
+    s = ml.isolation_forest(g.select("id_imovel", "valor", "preco_m2", "preco_estimado_ml", *ML_FEATURES),
+                            ML_FEATURES + ["valor", "preco_m2"], trees=100)
+    return s.select("id_imovel", F.bround("anomaly_score", 4).alias("anomaly_score"), "anomalia",
+                    ml.anomaly_type().alias("tipo_anomalia"))
+
+
+@query
+def q_pca(spark, sf_dir):
+    """M5."""
+    return ml.pca_summary(gold(spark, sf_dir).select(*ML_FEATURES), ML_FEATURES)
