@@ -85,7 +85,8 @@ def deed_stats(deeds: DataFrame) -> DataFrame:
     recent = F.col("ano_transacao") >= max_year - 3
     old = F.col("ano_transacao") < max_year - 3
     stats = v.groupBy("bairro").agg(
-        F.avg("media_valor_transacao").alias("escritura_valor_medio"),
+        # exact mean (decimal sum, one division): no dependence on the order partial sums arrive in
+        F.avg(F.col("media_valor_transacao").cast("decimal(38,4)")).cast("double").alias("escritura_valor_medio"),
         F.median("media_valor_transacao").alias("escritura_valor_mediano"),
         F.coalesce(F.avg(F.when(F.col("preco_m2_escritura") > 0, F.col("preco_m2_escritura"))),
                    F.lit(0.0)).alias("escritura_preco_m2_medio"),

@@ -435,7 +435,7 @@ deeds AS (SELECT {std('bairro')} AS bairro, coalesce(ano_transacao, 0) AS ano_tr
 dv AS (SELECT *, media_valor_transacao / media_area_terreno AS pm2 FROM deeds
        WHERE media_valor_transacao > 10000 AND media_area_terreno > 0),
 dmx AS (SELECT max(ano_transacao) AS m FROM dv),
-dstats AS (SELECT bairro, {rnd('avg(media_valor_transacao)', 2)} AS escritura_valor_medio,
+dstats AS (SELECT bairro, {rnd('avg(CAST(media_valor_transacao AS DECIMAL(38,4)))', 2)} AS escritura_valor_medio,
                   {rnd('median(media_valor_transacao)', 2)} AS escritura_valor_mediano,
                   {rnd('coalesce(avg(CASE WHEN pm2 > 0 THEN pm2 END), 0.0)', 2)} AS escritura_preco_m2_medio,
                   count(total_transacoes) AS escritura_total_transacoes,
@@ -765,3 +765,16 @@ register("type_classifier", with_gold(_types_sql()))
 register("stream_ingest", "SELECT event_id, user_id, event_type FROM events")
 register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 register("stream_counters", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+
+
+# ----------------------------------------------------------------------------- sources and sinks
+register("union_parts", f"SELECT DISTINCT url FROM ({lv.listing_view_sql()})")
+register("csv_round_trip", with_silver('\nSELECT id_imovel, coalesce(valor, 0) AS valor, preco_m2, bairro FROM silver'))
+_WSX = "[\\s\\x{00A0}]"
+register("html_fields", "SELECT page_id, url, "
+         + f"regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '{_WSX}+', ' ', 'g'), '^{_WSX}+|{_WSX}+$', '', 'g'), '^{_WSX}+|{_WSX}+$', '', 'g') AS titulo, "
+         + f"regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '{_WSX}+', ' ', 'g'), '^{_WSX}+|{_WSX}+$', '', 'g'), '^{_WSX}+|{_WSX}+$', '', 'g') AS h1, "
+         + "len(string_split(html, '<a ')) - 1 AS n_links, CAST(contains(html, 'class=\"ad\"') AS INTEGER) AS tem_anuncio, "
+         + ", ".join(f"CAST(contains(html, {q(chr(39).join(['itemprop=', code, '']))}) AS INTEGER) AS {n}"
+                     for n, code in dims.UNIT_AMENITIES + dims.CONDO_AMENITIES)
+         + " FROM pages")

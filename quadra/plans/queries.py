@@ -390,3 +390,41 @@ def q_anomalies(spark, sf_dir):
 def q_pca(spark, sf_dir):
     """M5."""
     return ml.pca_summary(gold(spark, sf_dir).select(*ML_FEATURES), ML_FEATURES)
+
+
+# ----------------------------------------------------------------------------- sources and sinks
+from quadra.sources import files as file_src  # noqa: E402
+from quadra.sources import sinks  # noqa: E402
+
+
+@query
+def q_union_parts(spark, sf_dir):
+    """S1-S3 + S9 + U1 + U2: listing rows written as CSV parts, read back as one union, deduplicated by url."""
+    raw = listing_view(spark, sf_dir, with_order=False).withColumnsRenamed(
+        {"valor": "valor_R$", "condominio": "condominio_R$", "iptu": "iptu_R$"})
+    path = sinks.write_parts(raw)
+    back = file_src.read_listings(spark, path)
+    return back.dropDuplicates(["url"]).select("url")
+
+
+@query
+def q_csv_round_trip(spark, sf_dir):
+    """S8 + S5: BI table written with ``;`` and decimal comma, read back to numbers."""
+    b = dq.to_bi(silver(spark, sf_dir)).select("id_imovel", "valor_R$", "preco_m2", "bairro")
+    back = file_src.read_bi(spark, sinks.write_bi(b))
+    return back.select("id_imovel", F.col("`valor_R$`").cast("double").alias("valor"),
+                       F.col("preco_m2").cast("double").alias("preco_m2"), "bairro")
+
+
+@query
+def q_html_fields(spark, sf_dir):
+    """X13-X17 over raw pages: title, heading, link count, ad block, amenity item flags."""
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    from quadra.functions.text import normalize_ws
+    flags = {n: p["html"].contains(f"itemprop='{code}'").cast("int") for n, code in dims.UNIT_AMENITIES + dims.CONDO_AMENITIES}
+    return p.select("page_id", "url",
+                    normalize_ws(F.regexp_extract("html", "<title>(.*?)</title>", 1)).alias("titulo"),
+                    normalize_ws(F.regexp_extract("html", "<h1>(.*?)</h1>", 1)).alias("h1"),
+                    (F.size(F.split("html", "<a ")) - 1).alias("n_links"),
+                    F.col("html").contains('class="ad"').cast("int").alias("tem_anuncio"),
+                    *[c.alias(n) for n, c in flags.items()])

@@ -121,8 +121,9 @@ def read_bi(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     raw = raw.toDF(*[clean_header(c) for c in raw.columns])
     conv = {}
     for c in raw.columns:
-        as_num = F.regexp_replace(F.col(f"`{c}`"), ",", ".").try_cast("double")
-        conv[c] = F.coalesce(as_num.cast("string"), F.col(f"`{c}`"))
+        col = F.col(f"`{c}`")
+        # only decimal-comma numbers change; ids and other text stay as written
+        conv[c] = F.when(col.rlike("^-?[0-9]+,[0-9]+$"), F.regexp_replace(col, ",", ".")).otherwise(col)
     return raw.withColumns(conv)
 
 
