@@ -179,3 +179,37 @@ def pca_summary(df: DataFrame, features: list[str]) -> DataFrame:
              int(np.searchsorted(cum, 0.95) + 1)) for i in range(k)]
     return df.sparkSession.createDataFrame(pd.DataFrame(rows, columns=["componente", "variancia", "acumulada",
                                                                        "n_80", "n_90", "n_95"]))
+
+
+def collinearity(df: DataFrame, features: list[str], threshold: float = 0.95) -> DataFrame:
+    """M4: Pearson r of every feature pair in one pass; the later column of a |r| > threshold pair is dropped."""
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
+    wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    rows = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{i}").alias("r")) for i, (a, b) in enumerate(pairs)]
+    out = wide.select(F.inline(F.array(*rows)))
+    return out.withColumn("descartar", F.when(F.abs(F.col("r")) > threshold, F.col("y")))
+
+
+def binned_mutual_information(df: DataFrame, features: list[str], target: str, bins: int = 10) -> DataFrame:
+    """M6 (re-aimed): mutual information of equal-width bins, I = Σ p(x,y)·ln(p(x,y)/(p(x)p(y))).
+
+    One pass explodes (feature, bin) pairs; the contingency table is at most
+    features × bins² rows, so the marginals and the sum are tiny aggregates.
+    """
+    cols = features + [target]
+    mm = df.select(F.struct(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
+                              for c in cols])).scalar()
+    d = df.withColumn("__mm", mm)
+
+    def b(c):
+        lo, hi, x = F.col(f"__mm.{c}.lo"), F.col(f"__mm.{c}.hi"), F.col(c).cast("double")
+        return F.when(hi == lo, 1).otherwise(F.least(F.floor((x - lo) / (hi - lo) * bins) + 1, F.lit(bins))).cast("int")
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), b(c).alias("bx")) for c in features])
+    cells = (d.filter(F.col(target).isNotNull()).select(F.inline(pairs), b(target).alias("by"))
+             .groupBy("feature", "bx", "by").agg(F.count(F.lit(1)).alias("n")))
+    n = cells.groupBy("feature").agg(F.sum("n").alias("total"))   # (names are case-insensitive: not "N")
+    px = cells.groupBy("feature", "bx").agg(F.sum("n").alias("nx"))
+    py = cells.groupBy("feature", "by").agg(F.sum("n").alias("ny"))
+    t = cells.join(n, "feature").join(px, ["feature", "bx"]).join(py, ["feature", "by"])
+    term = F.col("n") / F.col("total") * F.log(F.col("n") * F.col("total") / (F.col("nx") * F.col("ny")))
+    return t.groupBy("feature").agg(F.sum(term).alias("mi"))

@@ -778,3 +778,33 @@ register("html_fields", "SELECT page_id, url, "
          + ", ".join(f"CAST(contains(html, {q(chr(39).join(['itemprop=', code, '']))}) AS INTEGER) AS {n}"
                      for n, code in dims.UNIT_AMENITIES + dims.CONDO_AMENITIES)
          + " FROM pages")
+
+
+_SCREEN = ["area_m2", "quartos", "vagas", "banheiros", "condominio", "iptu", "latitude", "longitude",
+           "dist_praia_km", "dist_transporte_km", "dist_mercado_km", "dist_shopping_km", "score_mobilidade"]
+_SP = [(a, b) for i, a in enumerate(_SCREEN) for b in _SCREEN[i + 1:]]
+register("feature_screen", with_gold(", sagg AS (SELECT " + ", ".join(f"corr({a}, {b}) AS c{i}" for i, (a, b) in enumerate(_SP))
+    + " FROM prof)\n" + " UNION ALL ".join(
+    f"SELECT {q(a)} AS x, {q(b)} AS y, {rnd(f'c{i}', 6)} AS r, CASE WHEN abs(c{i}) > 0.95 THEN {q(b)} END AS descartar FROM sagg"
+    for i, (a, b) in enumerate(_SP))))
+
+
+def _mi_sql() -> str:
+    cols = _SCREEN + ["valor"]
+    mm = ", ".join(f"min(CAST({c} AS DOUBLE)) AS lo_{c}, max(CAST({c} AS DOUBLE)) AS hi_{c}" for c in cols)
+
+    def b(c):
+        return (f"CAST(CASE WHEN hi_{c} = lo_{c} THEN 1 ELSE least(floor((CAST({c} AS DOUBLE) - lo_{c}) / (hi_{c} - lo_{c}) * 10) + 1, 10) END AS INTEGER)")
+    unions = " UNION ALL ".join(f"SELECT {q(c)} AS feature, {b(c)} AS bx, {b('valor')} AS byy FROM prof, mi_mm WHERE valor IS NOT NULL"
+                                for c in _SCREEN)
+    return f""", mi_mm AS (SELECT {mm} FROM prof),
+mi_cells AS (SELECT feature, bx, byy, count(*) AS n FROM ({unions}) GROUP BY feature, bx, byy),
+mi_n AS (SELECT feature, sum(n) AS big_n FROM mi_cells GROUP BY feature),
+mi_px AS (SELECT feature, bx, sum(n) AS nx FROM mi_cells GROUP BY feature, bx),
+mi_py AS (SELECT feature, byy, sum(n) AS ny FROM mi_cells GROUP BY feature, byy)
+SELECT c.feature, {rnd('sum(CAST(c.n AS DOUBLE) / nn.big_n * ln(CAST(c.n AS DOUBLE) * nn.big_n / (CAST(px.nx AS DOUBLE) * py.ny)))', 6)} AS mi
+FROM mi_cells c JOIN mi_n nn ON c.feature = nn.feature JOIN mi_px px ON c.feature = px.feature AND c.bx = px.bx
+     JOIN mi_py py ON c.feature = py.feature AND c.byy = py.byy GROUP BY c.feature"""
+
+
+register("binned_mi", with_gold(_mi_sql()))

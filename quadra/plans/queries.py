@@ -428,3 +428,21 @@ def q_html_fields(spark, sf_dir):
                     (F.size(F.split("html", "<a ")) - 1).alias("n_links"),
                     F.col("html").contains('class="ad"').cast("int").alias("tem_anuncio"),
                     *[c.alias(n) for n, c in flags.items()])
+
+
+SCREEN_FEATURES = ["area_m2", "quartos", "vagas", "banheiros", "condominio", "iptu", "latitude", "longitude",
+                   "dist_praia_km", "dist_transporte_km", "dist_mercado_km", "dist_shopping_km", "score_mobilidade"]
+
+
+@query
+def q_feature_screen(spark, sf_dir):
+    """M1 + M4: pairwise correlation of candidate features, later column of |r| > 0.95 pairs dropped."""
+    out = ml.collinearity(gold(spark, sf_dir), SCREEN_FEATURES)
+    return out.select("x", "y", F.bround("r", 6).alias("r"), "descartar")
+
+
+@query
+def q_binned_mi(spark, sf_dir):
+    """M6: binned mutual information of each feature with the price."""
+    out = ml.binned_mutual_information(gold(spark, sf_dir), SCREEN_FEATURES, "valor")
+    return out.select("feature", F.bround("mi", 6).alias("mi"))
