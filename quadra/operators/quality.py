@@ -4,7 +4,7 @@ Operators: X19 W1 F1 F2 F3 F4 F5 D1 X22 X23 X24.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadra.functions.text import canonical_id, std_text, title_case, to_double0, trim_ws
@@ -64,25 +64,21 @@ def price_per_m2(df: DataFrame) -> DataFrame:
     return df.withColumn("preco_m2", F.bround(F.try_divide("valor", "area_m2"), 2))
 
 
-def quantile_bounds(df: DataFrame, col: str, probs: list[float], approx: bool = False) -> Column:
-    """Scalar subquery with ``[q..., count]``: computed once, inlined as a constant.
-
-    Exact ``percentile`` keeps one value->count map per task, bounded by the
-    number of distinct values (2-dp prices), not rows; ``approx=True`` switches
-    to ``percentile_approx`` for unbounded domains.
-    """
-    q = (F.percentile_approx(col, probs, 100_000) if approx else F.percentile(col, probs))
-    return df.select(F.concat(q.cast("array<double>"), F.array(F.count(F.lit(1)).cast("double")))).scalar()
-
-
 def trim_outliers(df: DataFrame, col: str = "preco_m2", lo: float = 0.01, hi: float = 0.99,
                   min_rows: int = 20, approx: bool = False) -> DataFrame:
-    """keep ``q_lo < col < q_hi`` (strict, linear quantiles) when the table has > ``min_rows`` rows."""
-    # bind the scalar once: every reference to a subquery Column would carry its own plan copy
-    df = df.withColumn("__qb", quantile_bounds(df, col, [lo, hi], approx))
-    b = F.col("__qb")
-    keep = (F.get(b, 2) <= min_rows) | ((F.col(col) > F.get(b, 0)) & (F.col(col) < F.get(b, 1)))
-    return df.filter(keep).drop("__qb")
+    """keep ``q_lo < col < q_hi`` (strict, linear quantiles) when the table has > ``min_rows`` rows.
+
+    The two bounds and the count are one small aggregate (partial per task,
+    a 3-number result) applied as literals: a scalar subquery here would be
+    inlined into every predicate and copied into each downstream branch.
+    Call on a materialized input so the aggregate does not recompute it.
+    """
+    q = (F.percentile_approx(col, [lo, hi], 100_000) if approx else F.percentile(col, [lo, hi]))
+    row = df.agg(q.cast("array<double>").alias("q"), F.count(F.lit(1)).alias("n")).first()
+    if row["n"] <= min_rows or row["q"] is None:
+        return df
+    q_lo, q_hi = row["q"]
+    return df.filter((F.col(col) > F.lit(q_lo)) & (F.col(col) < F.lit(q_hi)))
 
 
 def standardise_text(df: DataFrame, cols=TEXT_COLS) -> DataFrame:
@@ -100,11 +96,21 @@ def standardise_text(df: DataFrame, cols=TEXT_COLS) -> DataFrame:
     return df
 
 
-def apply_quality_rules(df: DataFrame, approx_quantiles: bool = False) -> DataFrame:
-    """Whole phase 2 on raw typed listings carrying ``url`` and ``src_order``."""
+def apply_quality_rules(df: DataFrame, approx_quantiles: bool = False, materialize: bool = True) -> DataFrame:
+    """Whole phase 2 on raw typed listings carrying ``url`` and ``src_order``.
+
+    The deduplicated, sanity-filtered table is checkpointed (reliable, in the
+    shared ``spark.checkpoint.dir``) before the quantile pass, so the trim
+    reads it instead of re-running scan + dedup, and downstream plans start
+    from a short lineage.
+    """
     df = dedup_first(with_canonical_id(df))
     df = parking_flag(coerce_numeric(df))
     df = price_per_m2(sanity_filter(df))
+    if materialize:
+        from quadra.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     df = trim_outliers(df, approx=approx_quantiles)
     return standardise_text(df)
 

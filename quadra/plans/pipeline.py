@@ -27,8 +27,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def silver(raw: DataFrame, approx_quantiles: bool = False, checkpoint: bool = True) -> DataFrame:
     """Phase 2."""
-    out = quality.apply_quality_rules(raw, approx_quantiles)
-    return cut(out) if checkpoint else out
+    return quality.apply_quality_rules(raw, approx_quantiles, materialize=checkpoint)
 
 
 def enrich(df: DataFrame, as_of: str = AS_OF, categories=None, approx_quantiles: bool = False,
