@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadra.llm import language_id, line_dedup, mixing, ngram_join, packing
+from quadra.llm import fingerprints, language_id, license_scan, line_dedup, mixing, ngram_join, packing, secrets, suffix_dedup, vector_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,17 @@ def _held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] < secrets.BASE)
+    count = [F.size(F.filter("spans", lambda x, i=i: x["kind"] == i)).cast("long").alias(n) for i, n in enumerate(("n_assign", "n_access", "n_hex"))]
+    return found.select("doc_id", *count, F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(~_held_out()))
@@ -28,6 +39,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("kept").cast("long").alias("n_kept"), "n_removed", F.sha2(F.concat_ws("\n", "kept"), 256).alias("kept_sha256"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("k").alias("doc_id"), F.col("n").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text("f").alias("fingerprint"), fingerprints.as_text("fe").alias("edited_fingerprint"),
+        fingerprints.likeness("f", "fe").alias("near_edited"), fingerprints.likeness("f", "next_f").alias("near_next"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.groups(_table(spark, sf_dir, "documents"), k=4, percent=85)
     return out.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
@@ -38,17 +57,26 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    return vector_search.top_k(table, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op4_line_dedup, op6_ngram_join, op7_mixing, op9_packing, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_language_id, op4_line_dedup, op5_fingerprints, op6_ngram_join, op7_mixing, op8_vector_search, op9_packing, op10_suffix_dedup, pipeline)}
 
 _WORDS = r"list_filter(string_split(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda w: w <> '')"
 
@@ -83,4 +111,13 @@ SELECT doc_id, size, CAST(ss AS BIGINT) AS source_size, target,
 FROM o
 """
 
-ORACLE = {"op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL}
+OP8_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLE = {"op8_vector_search": OP8_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL}

@@ -118,10 +118,10 @@ def runs(at: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         first = min(last, n)
 
 
-def words(data: np.ndarray, at: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the number of words before each row (n + 1 numbers)."""
+def words(data: np.ndarray, at: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the number of words before each row (n + 1 numbers).  ``gap``: which bytes separate."""
     base, end = int(at[0]), int(at[-1])
-    letter = ~SPACE[data[base:end]]
+    letter = ~gap[data[base:end]]
     edge = np.zeros(end - base + 1, bool)
     edge[at[:-1] - base] = True
     first = letter.copy()
@@ -132,15 +132,16 @@ def words(data: np.ndarray, at: np.ndarray, lower: bool = True) -> tuple[np.ndar
     return start, stop, np.searchsorted(start, at)
 
 
-def span_hash(data: np.ndarray, start: np.ndarray, stop: np.ndarray, lower: bool = True) -> np.ndarray:
-    """64-bit hash of the bytes of each span (spans lie in one stretch of ``data``; A-Z lowered)."""
+def span_hash(data: np.ndarray, start: np.ndarray, stop: np.ndarray, lower: bool = True, seed: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes of each span (spans lie in one stretch of ``data``; A-Z lowered if ``lower``)."""
     if not len(start):
         return np.zeros(0, np.uint64)
     base, end = int(start.min()), int(stop.max())
     part = data[base:end]
     with np.errstate(over="ignore"):
         sums = np.zeros(end - base + 1, np.uint64)
-        np.cumsum(BYTE64[LOWER[part] if lower else part] * powers(MULT, end - base)[:end - base], out=sums[1:])
+        table = mix(BYTE64 + np.uint64(seed)) if seed else BYTE64
+        np.cumsum(table[LOWER[part] if lower else part] * powers(MULT, end - base)[:end - base], out=sums[1:])
         s, e = start - base, stop - base
         return mix((sums[e] - sums[s]) * powers(MULT_INV, end - base)[s] + (e - s).astype(np.uint64))
 
