@@ -22,7 +22,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind"] < secrets.BASE)
-    count = [F.size(F.filter("spans", lambda x, i=i: x["kind"] == i)).cast("long").alias(n) for i, n in enumerate(("n_assign", "n_access", "n_hex"))]
+
+    def of(kind: int) -> F.Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+
+    count = [of(i).alias(f"n_{k[0]}") for i, k in enumerate(secrets.KINDS[:secrets.BASE])]
     return found.select("doc_id", *count, F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"))
 
 

@@ -4,7 +4,8 @@ Split into tasks by content.  Every ``length``-byte window has a key, the least
 grams; equal windows have equal keys.  A *segment* is a run of windows of one key in a text (about one
 per ``length`` / 2 bytes).  Equal texts are one class (a class of two or more is removed whole, if long
 enough, and takes part once); equal segments are one content (a content in two places is repeated as
-a whole).  What is left are keys with several different contents; only their bytes are shuffled.
+a whole).  What is left are keys with several different contents, or with one that may
+repeat a window inside; only their bytes are shuffled.
 
 Per task a suffix array by two-stage sorting: suffixes smaller than their successor are sorted
 directly (eight bytes at a time, ties only, until a group is known to agree on ``length`` bytes); the
@@ -154,13 +155,18 @@ def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(row, lo, hi, key): runs of window starts lo .. hi (in ``data``) with one key, at most ``length`` starts each."""
+    """(row, lo, hi, key, own): runs of window starts lo .. hi (in ``data``) with one key, at most ``length`` starts each.
+
+    ``own``: a window may occur twice inside the segment.  Then its key's first gram lies between the
+    two starts, so a window other than the last starts with the key's gram.
+    """
     base, end = int(at[0]), int(at[-1])
     none = np.zeros(0, np.int64)
     if end - base < length:
-        return none, none, none, none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(bool)
     gram = np.arange(base, end - GRAM + 1)
-    key = _sliding_min(span_hash(data, gram, gram + GRAM, lower=False), length - GRAM + 1)
+    h = span_hash(data, gram, gram + GRAM, lower=False)
+    key = _sliding_min(h, length - GRAM + 1)
     p = np.arange(base, base + len(key))
     row = np.searchsorted(at, p, "right") - 1
     inside = p + length <= at[row + 1]
@@ -173,10 +179,12 @@ def segments(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
     # windows that would cross the end of a text are the last of its positions
     last = np.where(inside[lo], np.minimum(hi, at[row[lo] + 1] - length - base), -1)
     ok = last >= lo
-    return row[lo][ok], p[lo][ok], p[last[ok]], key[lo][ok]
+    lo, last = lo[ok], last[ok]
+    begins = np.concatenate([[0], np.cumsum(h[:len(key)] == key)])
+    return row[lo], p[lo], p[last], key[lo], begins[last] > begins[lo]
 
 
-_SEGMENT = "key bigint, s1 bigint, s2 bigint, c1 bigint, c2 bigint, lo bigint, hi bigint"
+_SEGMENT = "key bigint, s1 bigint, s2 bigint, c1 bigint, c2 bigint, lo bigint, hi bigint, own boolean"
 
 
 def _find(length: int):
@@ -184,11 +192,11 @@ def _find(length: int):
         for batch in batches:
             data, at = text_bytes(batch.column(2))
             for lo, hi in runs(at, CHUNK):
-                row, a, b, key = segments(data, at[lo:hi + 1], length)
+                row, a, b, key, own = segments(data, at[lo:hi + 1], length)
                 columns = [key.view(np.int64), *(span_hash(data, a, b + length, lower=False, seed=s).view(np.int64) for s in (0, 1))]
                 yield pa.RecordBatch.from_arrays([
                     *(pa.array(c) for c in columns), batch.column(0)[lo:hi].take(pa.array(row)), batch.column(1)[lo:hi].take(pa.array(row)),
-                    pa.array(a - at[lo + row]), pa.array(b - at[lo + row])], ["key", "s1", "s2", "c1", "c2", "lo", "hi"])
+                    pa.array(a - at[lo + row]), pa.array(b - at[lo + row]), pa.array(own)], ["key", "s1", "s2", "c1", "c2", "lo", "hi", "own"])
     return run
 
 
@@ -275,11 +283,11 @@ def covered(rows: DataFrame, length: int, hot_bytes: int = HOT_BYTES) -> DataFra
 
     found = stored(rows.where(F.col("n_bytes") >= length).select("c1", "c2", "t").mapInArrow(_find(length), _SEGMENT), "segments")
     place = F.struct("c1", "c2", "lo", "hi")
-    contents = found.groupBy("key", "s1", "s2").agg(F.min(place).alias("p"), F.max(place).alias("q"))
-    contents = stored(contents.select("key", "s1", "s2", "p", (F.col("p") != F.col("q")).alias("twice")), "contents")
+    contents = found.groupBy("key", "s1", "s2").agg(F.min(place).alias("p"), F.max(place).alias("q"), F.max("own").alias("own"))
+    contents = stored(contents.select("key", "s1", "s2", "p", (F.col("p") != F.col("q")).alias("twice"), "own"), "contents")
     full = found.join(contents.where("twice").select("key", "s1", "s2"), ["key", "s1", "s2"], "left_semi").select("c1", "c2", F.col("lo").alias("a"), (F.col("hi") + length).alias("b")).distinct()
 
-    keys = contents.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("p.hi") - F.col("p.lo") + length).alias("bytes")).where("n > 1").select("key", (F.col("bytes") > hot_bytes).alias("hot"))
+    keys = contents.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("p.hi") - F.col("p.lo") + length).alias("bytes"), F.max("own").alias("own")).where("n > 1 or own").select("key", (F.col("bytes") > hot_bytes).alias("hot"))
     keys = stored(keys, "keys")
     wanted = contents.join(keys.select("key"), "key", "left_semi").select("p.c1", "p.c2", F.struct("key", "p.lo", "p.hi").alias("w"))
     wanted = wanted.groupBy("c1", "c2").agg(F.collect_list("w").alias("w")).join(classes.select("c1", "c2", "doc"), ["c1", "c2"])
