@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quadra.llm.components import components
+from quadra.llm.components import contracted
 from quadra.llm.shared import bitmap, distinct_by_row, in_bitmap, mix, runs, shingles, stored, text_bytes
 
-SKETCH_BITS = 18
+SKETCH_BITS = 16
 CHUNK = 1 << 20
 KEYS = 4
 _SALTS = np.random.default_rng(77).integers(1, 2**64 - 1, KEYS, dtype=np.uint64)
@@ -117,9 +117,17 @@ def _alike(a: str, b: str, percent: int) -> str:
             f"{100 + percent} * (bit_count({a}.s0 ^ {b}.s0) + bit_count({a}.s1 ^ {b}.s1)) <= {100 - percent} * ({a}.n + {b}.n)")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, k: int, percent: int) -> DataFrame:
-    """The pairs (x, y: structs with node and rid) that link, as (a, b) nodes."""
-    pairs = stored(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.rid").alias("ar"), F.col("y.rid").alias("br")).distinct(), "pairs")
+def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, text: str, key: str, k: int, percent: int) -> DataFrame:
+    """The pairs (x, y: structs with node and rid) that link, as (a, b) nodes.
+
+    First the prefixes bound the overlap: what two sets share is in both prefixes, or beyond the prefix
+    that ends first.  Only pairs within that bound fetch their texts.
+    """
+    pairs = stored(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.rid").alias("ar"), F.col("y.rid").alias("br"), F.col("x.n").alias("an"), F.col("y.n").alias("bn")).distinct(), "pairs")
+    known = heads.select("node", "prefix").where(in_bitmap(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h")), "h"), F.col("node")))
+    beyond = F.greatest(F.col("an") - F.size("pa"), F.col("bn") - F.size("pb"))
+    pairs = pairs.join(known.toDF("a", "pa"), "a").join(known.toDF("b", "pb"), "b").where((100 + percent) * (F.size(F.array_intersect("pa", "pb")) + beyond) >= percent * (F.col("an") + F.col("bn")))
+    pairs = stored(pairs.select("a", "b", "ar", "br"), "bounded")
     marks = bitmap(pairs.select(F.explode(F.array("ar", "br")).alias("h")), "h")
     rid = F.xxhash64(F.col(f"`{key}`"), _text(docs, text))
     texts = docs.select(rid.alias("rid"), _text(docs, text).alias("t")).where(in_bitmap(marks, F.col("rid")))
@@ -145,37 +153,50 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, k: int, pe
     return stored(both.mapInArrow(check, "a bigint, b bigint").distinct(), "linked")
 
 
-def links(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """(signatures, links): links are pairs of nodes that connect whatever is linked (not all links inside a group)."""
+def links(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signatures, stars, links): pairs of nodes that connect whatever is linked (not all links inside a group).
+
+    Stars: a links to the centre b; links: all that the groups do not show.
+    """
     signed = signatures(docs, text, key, k, percent)
-    head = signed.where("n > 0").groupBy("node").agg(F.min(F.struct("doc", "rid")).alias("h"))
-    heads = signed.where("n > 0").join(head, "node").where(F.struct("doc", "rid").eqNullSafe(F.col("h"))).drop("h", "doc").dropDuplicates(["node"])
-    heads = stored(heads, "heads")
+    some = signed.where("n > 0")
+    # one row per node; only nodes of two rows or more need to move for that
+    copied = stored(some.groupBy("node").agg(F.min(F.struct("doc", "rid")).alias("h"), F.count("*").alias("c")).where("c > 1").drop("c"), "copied")
+    marks = bitmap(copied, "node")
+    twice = in_bitmap(marks, F.col("node"))
+    chosen = some.where(twice).join(copied, "node", "left").where(F.col("h").isNull() | F.struct("doc", "rid").eqNullSafe(F.col("h"))).drop("h")
+    heads = some.where(~twice).unionByName(chosen.dropDuplicates(["node"])).drop("doc")
 
     # groups: each node against the most typical one of its min-hash
     item = F.struct("typical", "node", "rid", "n", "s0", "s1")
     keyed = heads.select(F.explode("mins").alias("m"), item.alias("x"))
     lead = keyed.groupBy("m").agg(F.max("x").alias("y"), F.count("*").alias("c")).where("c > 1").drop("c")
-    first = _verified(keyed.join(lead, "m").where(F.expr("x.node <> y.node and " + _alike("x", "y", percent))), docs, text, key, k, percent)
-    group = components(first)
-
-    # the matrix: shingles of two groups or more, group bounds, then members
-    named = heads.join(group.select("node", "root"), "node", "left").select(F.coalesce("root", "node").alias("g"), "node", "rid", "n", "s0", "s1", "prefix")
-    named = stored(named, "named")
-    postings = named.select("g", F.posexplode("prefix").alias("pos", "tok"), F.struct("node", "rid", "n", "s0", "s1").alias("x"))
-    cells = postings.select("tok", "g", (F.col("x.n") - F.col("pos")).alias("tail"), F.col("x.n").alias("n"))
+    first = _verified(keyed.join(lead, "m").where(F.expr("x.node <> y.node and " + _alike("x", "y", percent))), heads, docs, text, key, k, percent)
+    group = stored(first.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")), "groups")
+    members = group.groupBy(F.col("root").alias("g")).agg((F.count("*") + 1).alias("members"))
+
+    # the matrix: shingles of two groups or more, with the groups' bounds
+    inside = in_bitmap(bitmap(group, "node"), F.col("node"))
+    narrow = heads.drop("mins", "typical")
+    named = narrow.where(~inside).withColumn("g", F.col("node")).unionByName(narrow.where(inside).join(group, "node", "left").withColumn("g", F.coalesce("root", "node")).drop("root"))
+    cells = named.select("g", "n", F.posexplode("prefix").alias("pos", "tok")).select("tok", "g", (F.col("n") - F.col("pos")).alias("tail"), "n").repartition("tok")
     shared = cells.groupBy("tok").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 <> g1").select("tok")
-    shared = stored(cells.join(shared, "tok", "left_semi").groupBy("tok", "g").agg(F.max("tail").alias("tail"), F.min("n").alias("lo"), F.max("n").alias("hi")), "matrix")
+    matrix = stored(cells.join(shared, "tok", "left_semi").groupBy("tok", "g").agg(F.max("tail").alias("tail"), F.min("n").alias("lo"), F.max("n").alias("hi")), "matrix")
     near = F.expr(
         f"a.g < b.g and 100 * a.hi >= {percent} * b.lo and 100 * b.hi >= {percent} * a.lo"
         f" and {100 + percent} * least(a.tail, b.tail) >= {percent} * (a.lo + b.lo)")
-    open_ = shared.alias("a").join(shared.alias("b"), "tok").where(near).select("tok", F.col("a.g").alias("ga"), F.col("b.g").alias("gb"))
-    open_ = stored(open_, "open")
-    member = stored(postings.join(open_.select("tok", F.explode(F.array("ga", "gb")).alias("g")).distinct(), ["tok", "g"], "left_semi").select("tok", "g", (F.col("x.n") - F.col("pos")).alias("tail"), "x"), "members")
-    pairs = open_.join(member.select("tok", F.col("g").alias("ga"), F.col("tail").alias("ta"), "x"), ["tok", "ga"]).join(member.select("tok", F.col("g").alias("gb"), F.col("tail").alias("tb"), F.col("x").alias("y")), ["tok", "gb"])
-    pairs = pairs.where(F.expr(f"{100 + percent} * least(ta, tb) >= {percent} * (x.n + y.n) and " + _alike("x", "y", percent)))
-    rest = _verified(pairs, docs, text, key, k, percent)
-    return signed, first.unionByName(rest)
+    met = matrix.alias("a").join(matrix.alias("b"), "tok").where(near).select(F.col("a.g").alias("ga"), F.col("b.g").alias("gb")).distinct()
+
+    # open the groups that met: members of the smaller against those of the larger
+    size = lambda g, m: members.select(F.col("g").alias(g), F.col("members").alias(m))
+    met = met.join(size("ga", "ma"), "ga", "left").join(size("gb", "mb"), "gb", "left").na.fill(1, ["ma", "mb"])
+    less = F.col("ma") <= F.col("mb")
+    met = stored(met.select(F.when(less, F.col("ga")).otherwise(F.col("gb")).alias("gs"), F.when(less, F.col("gb")).otherwise(F.col("ga")).alias("gl")), "met")
+    wanted = in_bitmap(bitmap(met.select(F.explode(F.array("gs", "gl")).alias("g")), "g"), F.col("g"))
+    people = stored(named.where(wanted).select("g", F.struct("node", "rid", "n", "s0", "s1").alias("x")), "members")
+    pairs = met.join(people.select(F.col("g").alias("gs"), "x"), "gs").join(people.select(F.col("g").alias("gl"), F.col("x").alias("y")), "gl").where(F.expr(_alike("x", "y", percent)))
+    rest = _verified(pairs, heads, docs, text, key, k, percent)
+    return signed, first, rest
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
@@ -183,8 +204,8 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5,
 
     ``first`` marks the rows that speak for their component: its smallest (doc, rid).
     """
-    signed, link = links(docs, text, key, k, percent)
-    root = stored(components(link), "roots")
+    signed, star, link = links(docs, text, key, k, percent)
+    root = stored(contracted(star, link), "roots")
     nodes = signed.where("n > 0").groupBy("node").agg(F.min(F.struct("doc", "rid")).alias("o")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     nodes = stored(nodes, "nodes")
     named = nodes.join(nodes.groupBy("root").agg(F.min("o").alias("head")), "root").select("node", "head")
