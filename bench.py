@@ -24,7 +24,7 @@ def main() -> None:
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
     from quadra.plans.queries import QUERIES
     from quadra.session import get_spark
-    spark = get_spark(f"local[{cpus}]", app="quadra-bench", **{"spark.sql.shuffle.partitions": str(int(cpus) * 2)})
+    spark = get_spark(f"local[{cpus}]", app="quadra-bench", **{"spark.sql.shuffle.partitions": str(int(cpus) * 2), "spark.sql.files.maxPartitionBytes": "2m"})
     # warm-up: JVM, codegen caches (not timed)
     QUERIES["sanity_trim"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

@@ -138,12 +138,18 @@ def bool_to_int(c) -> Column:
     mapped = (F.when(s.isin("True", "true"), F.lit(1.0))
               .when(s.isin("False", "false"), F.lit(0.0))
               .otherwise(s.try_cast("double")))
-    return F.coalesce(mapped, F.lit(0.0)).cast("int")
+    return F.coalesce(mapped.try_cast("int"), F.lit(0))
 
 
 def to_double0(c) -> Column:
-    """``pd.to_numeric(errors='coerce').fillna(0)`` on text or numbers."""
-    return F.coalesce(_c(c).cast("string").try_cast("double"), F.lit(0.0))
+    """Text or numbers as double; what is no finite number (unparsable, NaN, infinite, NULL) is 0."""
+    x = _c(c).cast("string").try_cast("double")
+    return F.when(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), x).otherwise(F.lit(0.0))
+
+
+def to_int0(c, kind: str = "int") -> Column:
+    """As :func:`to_double0`, then truncated; beyond the type's range 0."""
+    return F.coalesce(to_double0(c).try_cast(kind), F.lit(0).cast(kind))
 
 
 def regex_flag(c, pattern: str) -> Column:

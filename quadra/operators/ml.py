@@ -71,19 +71,27 @@ def fair_price(df: DataFrame, target: str = "valor", model: str = "gbt", max_ite
                                                                                   *[f"{c}_idx" for c in cats])
 
 
+def elbow(costs: list[float], kmax: int) -> int:
+    """The k after which the cost drops least, relative to the drop before: smallest ratio of successive drops.
+
+    ``costs`` start at k = 2; without costs (a table of under 100 rows) k = 5.
+    """
+    drops = [a - b for a, b in zip(costs, costs[1:], strict=False)]
+    ratios = [b / a if a > 0 else 1.0 for a, b in zip(drops, drops[1:], strict=False)]
+    if ratios:
+        return min(3 + ratios.index(min(ratios)), kmax)
+    return min(3, kmax) if drops else 5
+
+
 def kmeans_elbow(df: DataFrame, features: list[str], seed: int = 42) -> tuple[DataFrame, int, list[float]]:
-    """K in 2..min(10, n/20); the elbow is the k with the largest second difference of cost."""
+    """K from 2 to min(10, n/20), at least 3; see :func:`elbow`."""
     n = df.count()
-    kmax = max(2, min(10, n // 20))
+    kmax = max(3, min(10, n // 20))
     prep = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="raw", handleInvalid="keep"),
                             StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)]).fit(df)
     x = prep.transform(df).cache()
-    costs = [KMeans(k=k, seed=seed, featuresCol="features").fit(x).summary.trainingCost for k in range(2, kmax + 1)]
-    if len(costs) >= 3:
-        second = [costs[i - 1] - 2 * costs[i] + costs[i + 1] for i in range(1, len(costs) - 1)]
-        k = 2 + 1 + int(np.argmax(second))
-    else:
-        k = 2
+    costs = [KMeans(k=k, seed=seed, featuresCol="features").fit(x).summary.trainingCost for k in range(2, kmax + 1)] if n >= 100 else []
+    k = elbow(costs, kmax)
     out = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_id").fit(x).transform(x)
     x.unpersist()
     return out.drop("raw", "features"), k, costs
@@ -92,10 +100,11 @@ def kmeans_elbow(df: DataFrame, features: list[str], seed: int = 42) -> tuple[Da
 def cluster_labels(df: DataFrame, value: str = "valor", area: str = "area_m2") -> DataFrame:
     """M14 + A19: price tier and size tier from the cluster means, plus ``(n=…)``."""
     means = df.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("v"), F.avg(area).alias("a"))
-    tier = (F.when(F.col("v") >= 2_000_000, "Luxo").when(F.col("v") >= 800_000, "Alto Padrão")
-            .when(F.col("v") >= 400_000, "Médio").when(F.col("v") >= 200_000, "Econômico").otherwise("Popular"))
-    size = F.when(F.col("a") >= 150, "Grande").when(F.col("a") >= 80, "Médio").otherwise("Compacto")
-    lab = means.select("cluster_id", F.format_string("%s / %s (n=%d)", tier, size, F.col("n")).alias("cluster_label"))
+    # FIXED VALUES: price tiers and size tiers (strictly above)
+    tier = (F.when(F.col("v") > 2_000_000, "Alto Padrão").when(F.col("v") > 800_000, "Médio-Alto")
+            .when(F.col("v") > 400_000, "Médio").when(F.col("v") > 200_000, "Popular").otherwise("Econômico"))
+    size = F.when(F.col("a") > 150, "Grande").when(F.col("a") > 80, "Médio").otherwise("Compacto")
+    lab = means.select("cluster_id", F.format_string("%s %s (n=%d)", tier, size, F.col("n")).alias("cluster_label"))
     return df.join(F.broadcast(lab), "cluster_id", "left")   # at most 10 clusters
 
 
@@ -160,11 +169,12 @@ def isolation_forest(df: DataFrame, features: list[str], trees: int = 200, sampl
     return scored.withColumn("__thr", thr).withColumn("anomalia", (F.col("anomaly_score") >= F.col("__thr")).cast("int")).drop("__thr")
 
 
-def anomaly_type(est: str = "preco_estimado_ml", value: str = "valor") -> F.Column:
+def anomaly_type(est: str = "preco_estimado_ml", value: str = "valor", flag: str = "anomalia") -> F.Column:
     """M16."""
     v, e = F.col(value), F.col(est)
-    return (F.when(F.col("anomalia") != 1, "Normal").when(v < 0.7 * e, "Preço muito abaixo do estimado")
-            .when(v > 1.5 * e, "Preço muito acima do estimado").otherwise("Perfil atípico"))
+    # FIXED VALUES: texts and factors
+    return (F.when(F.col(flag) != 1, "Normal").when(v < 0.7 * e, "Subprecificado (possível oportunidade)")
+            .when(v > 1.5 * e, "Superprecificado (possível erro)").otherwise("Atípico (revisar manualmente)"))
 
 
 def pca_summary(df: DataFrame, features: list[str]) -> DataFrame:

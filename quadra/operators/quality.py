@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quadra.functions.order import exact_quantiles
 from quadra.functions.text import canonical_id, std_text, title_case, to_double0, trim_ws
+from quadra.session import stored
 
 NUMERIC_COLS = ["valor", "area_m2", "condominio", "iptu", "quartos", "vagas", "banheiros", "suites"]
 TEXT_COLS = ["bairro", "tipo", "cidade", "descricao", "rua", "corretora"]
@@ -19,20 +21,16 @@ def with_canonical_id(df: DataFrame, url_col: str = "url") -> DataFrame:
 
 
 def dedup_first(df: DataFrame, key: str = "id_imovel", order_col: str = "src_order") -> DataFrame:
-    """Keep the first row per ``key`` in ``order_col`` order.
-
-    1. ``min(order)`` per key — a small-buffer aggregate combined map-side, so
-       a key holding a third of all rows is reduced inside every task;
-    2. left-semi join back on ``(key, first order)`` — AQE's skew-join split
-       handles a hot key on the big side;
-    3. ``distinct()`` drops exact copies that tie on the order key (hash
-       aggregate on the row values, also partially aggregated map-side).
-    Not ``row_number()`` over ``partitionBy(key)``, which sorts a hot key in
-    one task, nor ``min(struct(row))``, whose wide buffer forces a slow
-    sort-based aggregate.
+    """Keep the first row per ``key`` in ``order_col`` order; of rows that tie on both, one.
+
+    1. ``min(order)`` per key.  With a scalar order (BIGINT) this is a hash aggregate combined
+       map-side, so a key holding a third of all rows is reduced inside every task;
+    2. left-semi join back on ``(key, first order)``: both are hash keys, so the rows of a hot key
+       spread over all partitions;
+    3. ties on (key, order) are dropped where they already are, without another shuffle.
     """
     firsts = df.groupBy(key).agg(F.min(order_col).alias(order_col))
-    return df.join(firsts, [key, order_col], "left_semi").distinct()
+    return df.join(firsts, [key, order_col], "left_semi").dropDuplicates([key, order_col])
 
 
 def coerce_numeric(df: DataFrame, cols=NUMERIC_COLS) -> DataFrame:
@@ -65,20 +63,16 @@ def price_per_m2(df: DataFrame) -> DataFrame:
 
 
 def trim_outliers(df: DataFrame, col: str = "preco_m2", lo: float = 0.01, hi: float = 0.99,
-                  min_rows: int = 20, approx: bool = False) -> DataFrame:
-    """keep ``q_lo < col < q_hi`` (strict, linear quantiles) when the table has > ``min_rows`` rows.
+                  min_rows: int = 20) -> DataFrame:
+    """keep ``q_lo < col < q_hi`` (strict, exact linear quantiles) when the table has > ``min_rows`` rows.
 
-    The two bounds and the count are one small aggregate (partial per task,
-    a 3-number result) applied as literals: a scalar subquery here would be
-    inlined into every predicate and copied into each downstream branch.
-    Call on a materialized input so the aggregate does not recompute it.
+    Call on a stored table: the bounds are found by counting in bins (bounded memory), and applied as
+    literals, so that no branch of a later plan computes them again.
     """
-    q = (F.percentile_approx(col, [lo, hi], 100_000) if approx else F.percentile(col, [lo, hi]))
-    row = df.agg(q.cast("array<double>").alias("q"), F.count(F.lit(1)).alias("n")).first()
-    if row["n"] <= min_rows or row["q"] is None:
+    bounds, n = exact_quantiles(df, col, [lo, hi])
+    if bounds is None or n <= min_rows:
         return df
-    q_lo, q_hi = row["q"]
-    return df.filter((F.col(col) > F.lit(q_lo)) & (F.col(col) < F.lit(q_hi)))
+    return df.filter((F.col(col) > F.lit(bounds[0])) & (F.col(col) < F.lit(bounds[1])))
 
 
 def standardise_text(df: DataFrame, cols=TEXT_COLS) -> DataFrame:
@@ -96,23 +90,16 @@ def standardise_text(df: DataFrame, cols=TEXT_COLS) -> DataFrame:
     return df
 
 
-def apply_quality_rules(df: DataFrame, approx_quantiles: bool = False, materialize: bool = True) -> DataFrame:
+def apply_quality_rules(df: DataFrame, path: str | None = None) -> DataFrame:
     """Whole phase 2 on raw typed listings carrying ``url`` and ``src_order``.
 
-    The deduplicated, sanity-filtered table is checkpointed (reliable, in the
-    shared ``spark.checkpoint.dir``) before the quantile pass, so the trim
-    reads it instead of re-running scan + dedup, and downstream plans start
-    from a short lineage.
+    The deduplicated, sanity-filtered table is written once as Parquet (to ``path``, else to the
+    shared folder): the quantile pass reads one of its columns, later plans only those they use.
     """
     df = dedup_first(with_canonical_id(df))
     df = parking_flag(coerce_numeric(df))
-    df = price_per_m2(sanity_filter(df))
-    if materialize:
-        from quadra.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    df = trim_outliers(df, approx=approx_quantiles)
-    return standardise_text(df)
+    df = stored(price_per_m2(sanity_filter(df)), "silver", path)
+    return standardise_text(trim_outliers(df))
 
 
 def is_empty_guard(df: DataFrame) -> bool:

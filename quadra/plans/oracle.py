@@ -574,7 +574,7 @@ SELECT row_number() OVER (ORDER BY diferenca_percentual, id_imovel) AS rank, id_
        diferenca_percentual AS delta_pct,
        CASE WHEN diferenca_percentual < -40 THEN '🔥🔥🔥 EXCEPCIONAL' WHEN diferenca_percentual < -25 THEN '🔥🔥 FORTE'
             ELSE '🔥 MODERADA' END AS nivel
-FROM (SELECT * FROM prof WHERE diferenca_percentual < -15 ORDER BY diferenca_percentual, id_imovel LIMIT 50)"""))
+FROM prof WHERE diferenca_percentual < -15"""))
 register("opportunities_by_zone", with_gold("SELECT zona, count(*) AS n FROM prof WHERE diferenca_percentual < -15 GROUP BY zona"))
 
 
@@ -763,11 +763,14 @@ register("type_classifier", with_gold(_types_sql()))
 
 # ----------------------------------------------------------------------------- streaming
 register("stream_ingest", "SELECT event_id, user_id, event_type FROM events")
-register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+register("stream_dedup", "SELECT DISTINCT event_id, user_id, event_type FROM events")
 register("stream_counters", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 
 
 # ----------------------------------------------------------------------------- sources and sinks
+register("union_part_rows", f"""SELECT url, valor, area_m2, quartos, vagas, banheiros, suites, andar, nullif(tipo_imovel, '') AS tipo_imovel, status_construcao,
+       bairro, cidade, rua, numero, condominio, iptu, destaque, descricao, nota_media, total_avaliacoes, dias_publicado,
+       dias_atualizado, latitude, longitude, origem_geo FROM ({lv.listing_view_sql()})""")
 register("union_parts", f"SELECT DISTINCT url FROM ({lv.listing_view_sql()})")
 register("csv_round_trip", with_silver('\nSELECT id_imovel, coalesce(valor, 0) AS valor, preco_m2, bairro FROM silver'))
 _WSX = "[\\s\\x{00A0}]"

@@ -1,8 +1,7 @@
-"""The composed listing job: phases 2-16 as one lazy plan of ``DataFrame.transform`` steps.
+"""The composed listing job: phases 2-16 as ``DataFrame.transform`` steps over two stored tables.
 
-Table-wide scalars (outlier quantiles, quintile edges, min/max for the
-profiles, latest deed year) are scalar subqueries, so the whole chain stays
-one plan that Catalyst can prune; the only shuffles are the dedup aggregate
+Phase 2 ends in a Parquet table, and so does phase 11.  Table-wide scalars (quintile edges, min/max for the
+profiles, latest deed year) are scalar subqueries; the only shuffles are the dedup aggregate
 and the group statistics (all partially aggregated map-side).
 """
 from __future__ import annotations
@@ -10,34 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quadra.operators import finance, geo, nlp, price, profiles, quality
-from quadra.session import ensure_checkpoint_dir
+from quadra.session import stored
 from quadra.sources.listing_view import AS_OF, listing_view
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the cluster's shared ``spark.checkpoint.dir``.
+    """Cut lineage with a Parquet table in the cluster's shared folder.
 
-    Keeps plans small (analysis of ~150 derived columns plus scalar
-    subqueries grows with the lineage) and gives lost executors a durable
-    restart point instead of recomputing from the raw scan.
+    Keeps plans small (analysis of ~150 derived columns grows with the lineage); later steps
+    read only the columns they use.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return stored(df, "gold")
 
 
-def silver(raw: DataFrame, approx_quantiles: bool = False, checkpoint: bool = True) -> DataFrame:
+def silver(raw: DataFrame, path: str | None = None) -> DataFrame:
     """Phase 2."""
-    return quality.apply_quality_rules(raw, approx_quantiles, materialize=checkpoint)
+    return quality.apply_quality_rules(raw, path)
 
 
-def enrich(df: DataFrame, as_of: str = AS_OF, categories=None, approx_quantiles: bool = False,
-           checkpoint: bool = True) -> DataFrame:
+def enrich(df: DataFrame, as_of: str = AS_OF, categories=None, checkpoint: bool = True) -> DataFrame:
     """Phases 3-12 on a silver table."""
     mid = (df.transform(price.reference_price)
              .transform(lambda d: geo.enrich_geo(d, categories))
              .transform(finance.finance)
              .transform(price.street_supply)
-             .transform(lambda d: nlp.segment_market(d, approx_quantiles))
+             .transform(lambda d: nlp.segment_market(d))
              .transform(lambda d: nlp.days_on_market(d, as_of))
              .transform(nlp.extract_tags)
              .transform(nlp.urgency)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quadra.functions.order import ranked
 from quadra.operators import price, quality
 from quadra.sources.listing_view import listing_view
 
@@ -245,11 +246,10 @@ def q_top_anomalies(spark, sf_dir):
 
 @query
 def q_opportunity_rank(spark, sf_dir):
-    """O1 + W4 + Q11: listings priced > 15 % under their reference, top 50 by gap."""
+    """O1 + W4 + Q11: every listing priced > 15 % under its reference, ranked by gap."""
     g = gold(spark, sf_dir).filter(F.col("diferenca_percentual") < -15)
-    top = g.orderBy("diferenca_percentual", "id_imovel").limit(50)
-    w = Window.orderBy("diferenca_percentual", "id_imovel")
-    return top.select(F.row_number().over(w).alias("rank"), "id_imovel", "bairro", "zona", "valor",
+    g = g.select("id_imovel", "bairro", "zona", "valor", "diferenca_percentual")
+    return ranked(g, [F.col("diferenca_percentual"), F.col("id_imovel")]).select("rank", "id_imovel", "bairro", "zona", "valor",
                       F.col("diferenca_percentual").alias("delta_pct"),
                       dq.opportunity_level("diferenca_percentual").alias("nivel"))
 
@@ -340,10 +340,10 @@ def q_stream_ingest(spark, sf_dir):
 
 @query
 def q_stream_dedup(spark, sf_dir):
-    """ST2: watermark-bounded dedup of (user, event type) arrivals."""
-    name = f"dedup_{_uuid.uuid4().hex[:8]}"
-    st.run_available(st.dedup(_events_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "1 hour"), name)
-    return spark.table(name).select("user_id", "event_type")
+    """ST2: watermark-bounded dedup of events by id, into Parquet."""
+    out = st._work_dir(spark, "dedup")
+    st.run_available(st.dedup(_events_stream(spark, sf_dir), ["event_id"], "ts", "1 hour"), "dedup", sink="parquet", path=out)
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
 @query
@@ -407,6 +407,22 @@ def q_union_parts(spark, sf_dir):
     return back.dropDuplicates(["url"]).select("url")
 
 
+PART_OUT = ["url", "valor", "area_m2", "quartos", "vagas", "banheiros", "suites", "andar", "tipo_imovel", "status_construcao",
+            "bairro", "cidade", "rua", "numero", "condominio", "iptu", "destaque", "descricao", "nota_media",
+            "total_avaliacoes", "dias_publicado", "dias_atualizado", "latitude", "longitude", "origem_geo"]
+
+
+@query
+def q_union_part_rows(spark, sf_dir):
+    """S1 + S9 + U1: parts with different column orders, read back by name; every row and value."""
+    raw = listing_view(spark, sf_dir, with_order=False).withColumnsRenamed(
+        {"valor": "valor_R$", "condominio": "condominio_R$", "iptu": "iptu_R$"})
+    even = F.col("quartos") % 2 == 0
+    path = sinks.write_parts(raw.where(even))
+    sinks.write_parts(raw.where(~even).select(*[F.col(f"`{c}`") for c in reversed(raw.columns)]), path)
+    return file_src.read_listings(spark, path).select(*PART_OUT)
+
+
 @query
 def q_csv_round_trip(spark, sf_dir):
     """S8 + S5: BI table written with ``;`` and decimal comma, read back to numbers."""

@@ -3,48 +3,54 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+#: Set only where the session does not say otherwise; nothing here depends on the data or the cluster's size.
 _DEFAULTS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.shuffle.partitions": "8",
     # wide listing rows (~150 columns) must stay inside whole-stage codegen
     "spark.sql.codegen.maxFields": "1000",
 }
 
 
 def get_spark(master: str | None = None, app: str = "quadra", **conf) -> SparkSession:
-    """Local session for tests/bench; on a cluster the submitted session is reused."""
+    """The submitted session, as it is; with ``master`` a session of one's own (tests, bench) with ``conf``."""
     builder = SparkSession.builder.appName(app)
+    settings = dict(conf)
     if master:
         builder = builder.master(master)
-    for k, v in {**_DEFAULTS, **conf}.items():
+        settings = {**_DEFAULTS, "spark.ui.enabled": "false", "spark.driver.memory": os.environ.get("QUADRA_DRIVER_MEM", "16g"), **conf}
+    for k, v in settings.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory", os.environ.get("QUADRA_DRIVER_MEM", "16g"))
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if master:
+        spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint dir; only set a local one when unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in ``spark.checkpoint.dir``; a ``local`` session without one gets its own, a cluster an error."""
     sc = spark.sparkContext
-    if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return current
-    if sc.getCheckpointDir() is not None:
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="quadra-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return local
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="quadra-ckpt-")
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet (to ``path``, else below the shared folder) and read back.
+
+    The rows behind it are durable and columnar: what follows reads only its columns, with
+    statistics and push-down, and a lost executor repeats only its own tasks.
+    """
+    spark = df.sparkSession
+    path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,12 +5,13 @@ later with ``try_cast`` so one malformed value never fails the job (ANSI mode).
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quadra import dims
-from quadra.functions.text import std_text, strip_accents_py, to_double0
+from quadra.functions.text import std_text, strip_accents_py, to_double0, to_int0
 
 # FIXED VALUES: declared listing fields of the collection CSV parts, in order.
 LISTING_FIELDS = [
@@ -38,24 +39,53 @@ def clean_header(name: str) -> str:
     return name.replace("﻿", "").strip()
 
 
-def read_listings(spark: SparkSession, paths, sep: str = ";", drop_malformed: bool = True) -> DataFrame:
-    """S1 + S2 + U1: union of CSV parts (all text), with file name and line order for dedup.
+def part_headers(spark: SparkSession, paths, sep: str = ";") -> dict[tuple[str, ...], list[str]]:
+    """Column names (cleaned) -> the files that have this header line, in order of path."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    first = lines.where("block = 0").withColumn("at", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("file").collect():  # one row per file
+        out.setdefault(tuple(clean_header(c.strip('"')) for c in r["header"].split(sep)), []).append(r["file"])
+    return out
 
-    ``src_order`` = (file path, position in file) gives the source's
-    "first occurrence in sorted-file concatenation" order without a global sort.
+
+def read_parts(spark: SparkSession, paths, sep: str = ";") -> DataFrame:
+    """Rows of all parts by column *name* (text), with ``src_order`` and ``overlong``.
+
+    Every header has a schema of its own, so parts may order or lack columns.  Short rows keep what
+    they have; a row with more fields than its header is marked, not dropped.  What is read does
+    not depend on the columns selected later.
     """
-    raw = (spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
-           .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
-           .csv(paths))
-    raw = raw.toDF(*[clean_header(c) for c in raw.columns])
-    for c in LISTING_FIELDS:
-        if c not in raw.columns:
-            raw = raw.withColumn(c, F.lit(None).cast("string"))
-    pos = F.monotonically_increasing_id()  # increasing within a file split, splits ordered by offset
-    df = raw.select(*[F.col(c) for c in LISTING_FIELDS],
-                    F.struct(F.col("_metadata.file_path").alias("file"),
-                             F.col("_metadata.file_block_start").alias("block"), pos.alias("pos")).alias("src_order"))
-    return typed_listings(df)
+    union = None
+    for names, files in part_headers(spark, paths, sep).items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, "_corrupt_record")])
+        raw = (spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", "UTF-8").option("columnPruning", False)
+               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").csv(files))
+        unquoted = F.regexp_replace("_corrupt_record", '"[^"]*"', "")
+        # the reader refuses a query of the corrupt record alone: the first column takes part, always true
+        fields = F.when(F.coalesce(F.octet_length(F.col(f"`{names[0]}`")), F.lit(0)) >= 0, F.size(F.split(unquoted, sep)))
+        order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+        part = raw.select(*[F.col(f"`{c}`") if c in names else F.lit(None).cast("string").alias(c) for c in LISTING_FIELDS],
+                          order.alias("src_order"), F.coalesce(fields > len(names), F.lit(False)).alias("overlong"), F.col("_corrupt_record").alias("raw_line"))
+        union = part if union is None else union.unionByName(part)
+    if union is None:
+        order = "struct<file:string,block:bigint,pos:bigint>"
+        union = spark.createDataFrame([], BRONZE_SCHEMA).withColumns({"src_order": F.lit(None).cast(order), "overlong": F.lit(False), "raw_line": F.lit(None).cast("string")})
+    return union
+
+
+def read_listings(spark: SparkSession, paths, sep: str = ";") -> DataFrame:
+    """S1 + S2 + S3 + U1: typed union of CSV parts by name, with the order for dedup; over-long rows are rejected.
+
+    ``src_order`` = (file path, split, position) gives the source's "first occurrence in
+    sorted-file concatenation" order without a global sort.
+    """
+    return typed_listings(read_parts(spark, paths, sep).where(~F.col("overlong")).drop("overlong", "raw_line"))
+
+
+def read_rejects(spark: SparkSession, paths, sep: str = ";") -> DataFrame:
+    """The over-long rows, as (file, line)."""
+    return read_parts(spark, paths, sep).where("overlong").select("src_order.file", "raw_line")
 
 
 def typed_listings(df: DataFrame) -> DataFrame:
@@ -64,13 +94,13 @@ def typed_listings(df: DataFrame) -> DataFrame:
     out = df.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in df.columns})
     nums = {c: to_double0(c) for c in ["valor", "area_m2", "condominio", "iptu", "nota_media", "latitude", "longitude"]
             if c in out.columns}
-    ints = {c: to_double0(c).cast("int") for c in ["quartos", "vagas", "banheiros", "suites", "andar",
+    ints = {c: to_int0(c) for c in ["quartos", "vagas", "banheiros", "suites", "andar",
                                                     "total_avaliacoes", "dias_publicado", "dias_atualizado"]
             if c in out.columns}
     flags = {n: bool_to_int(n) for n, _ in dims.UNIT_AMENITIES + dims.CONDO_AMENITIES if n in out.columns}
     extra = {}
     if "numero" in out.columns:
-        extra["numero"] = to_double0("numero").cast("bigint")
+        extra["numero"] = to_int0("numero", "bigint")
     if "anuncio_criado" in out.columns:
         extra["anuncio_criado"] = F.try_to_date(F.col("anuncio_criado").cast("string"))
     return out.withColumns({**nums, **ints, **flags, **extra})
@@ -97,8 +127,10 @@ def read_deeds(spark: SparkSession, path: str) -> DataFrame:
     """Deed CSV with fuzzy header names -> canonical columns; missing file / bairro -> empty."""
     try:
         raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
-    except Exception:  # noqa: BLE001 — missing file is an empty input, as in the source
-        return spark.createDataFrame([], DEED_SCHEMA)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], DEED_SCHEMA)  # a missing file is an empty input, as in the source
     ren = {c: _canonical_deed(c) for c in raw.columns}
     if "bairro" not in ren.values():
         return spark.createDataFrame([], DEED_SCHEMA)
@@ -111,7 +143,7 @@ def normalise_deeds(df: DataFrame) -> DataFrame:
     out = {"bairro": std_text("bairro")}
     for c in ["media_valor_transacao", "media_valor_imovel", "media_area_terreno", "ano_transacao", "total_transacoes"]:
         if c in df.columns:
-            out[c] = to_double0(c) if c != "ano_transacao" else to_double0(c).cast("int")
+            out[c] = to_double0(c) if c != "ano_transacao" else to_int0(c)
     return df.withColumns(out)
 
 

@@ -17,26 +17,27 @@ def scratch(df: DataFrame, name: str) -> str:
 
 
 def write_bi(df: DataFrame, path: str | None = None, sep: str = ";") -> str:
-    """``;`` separated, decimal comma for doubles, BOM-free UTF-8 with header."""
+    """``;`` separated, decimal comma for doubles, UTF-8 with a byte-order mark before each file's header."""
     out = path or scratch(df, "bi")
     cols = [F.regexp_replace(F.col(f"`{c}`").cast("string"), "\\.", ",").alias(c) if t in ("double", "float")
             else F.col(f"`{c}`").cast("string").alias(c) for c, t in df.dtypes]
+    cols[0] = cols[0].alias("\ufeff" + df.columns[0])
     df.select(*cols).write.mode("overwrite").option("header", True).option("sep", sep).csv(out)
     return out
 
 
-def write_parts(df: DataFrame, path: str | None = None, parts: int = 4, sep: str = ";") -> str:
-    """Listing rows appended as text CSV parts."""
+def write_parts(df: DataFrame, path: str | None = None, sep: str = ";") -> str:
+    """Listing rows appended as text CSV parts, one per task as the rows lie."""
     out = path or scratch(df, "parts")
     df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]) \
-      .repartition(parts).write.mode("append").option("header", True).option("sep", sep).csv(out)
+      .write.mode("append").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("header", True).option("sep", sep).csv(out)
     return out
 
 
 def write_metrics(df: DataFrame, path: str | None = None) -> str:
     """Report / metrics table as JSON lines."""
     out = path or scratch(df, "metrics")
-    df.coalesce(1).write.mode("overwrite").json(out)   # small report tables only
+    df.write.mode("overwrite").json(out)
     return out
 
 

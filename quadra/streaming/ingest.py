@@ -60,7 +60,11 @@ def ingest(stream: DataFrame, out_path: str | None = None) -> DataFrame:
 
 
 def dedup(stream: DataFrame, keys: list[str], event_time: str, watermark: str = "1 hour") -> DataFrame:
-    """ST2: first arrival per key within the watermark (bounded state)."""
+    """ST2: first arrival per key within the watermark (bounded state).
+
+    A repeat that arrives up to ``watermark`` behind the latest event is dropped; a row that is later
+    than that when it first arrives is dropped as late.
+    """
     ts = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))  # watermark needs TIMESTAMP (not NTZ)
     return ts.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
 
