@@ -3,15 +3,16 @@
 FIXED VALUES — these constants must equal the source system's rules for the
 results to agree (points of interest, neighbourhood zones, tourist districts,
 housing-programme bands, tag patterns, field rules).  They are stated plainly,
-in their natural order.  The market-fair points (a ~160 row table produced by a
-separate geocoding job) are *not* shipped: they enter as a parameter DataFrame
-through ``quadra.sources.files.read_fairs`` and ``poi_rows(fairs=...)``.
+in their natural order.  The market fairs lie in ``quadra.fairs``; another set enters
+through ``quadra.sources.files.read_fairs`` and ``poi_dim(fairs=...)``.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quadra.fairs import FAIRS
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES: points of interest, category -> [(name, lat, lon)], in order.
 # Earlier points win distance ties.
@@ -176,7 +177,9 @@ POIS: dict[str, list[tuple[str, float, float]]] = {
         ("Santa Teresa", -22.9195, -43.1870),
     ],
 }
+MAX_FAIRS = 10_000
 FAIR_CATEGORY = "feiras_alimentacao"
+POIS[FAIR_CATEGORY] = FAIRS
 
 # FIXED VALUES: category -> (distance column, name column) of the geo phase.
 GEO_COLUMNS: list[tuple[str, str, str]] = [
@@ -429,16 +432,14 @@ def poi_rows(categories: dict[str, list[tuple[str, float, float]]] | None = None
 
 
 def poi_dim(spark: SparkSession, fairs: DataFrame | None = None) -> DataFrame:
-    """``poi(category, ord, name, lat, lon)``; fairs (name, lat, lon) appended as their category."""
-    df = spark.createDataFrame(poi_rows(), POI_SCHEMA)
+    """``poi(category, ord, name, lat, lon)``; with ``fairs`` (name, lat, lon, at most ``MAX_FAIRS``) in place of the fixed ones."""
+    rows = poi_rows()
     if fairs is not None:
-        from pyspark.sql import functions as F, Window
-        w = Window.orderBy("name")  # small dimension: single-partition rank is bounded
-        df = df.unionByName(fairs.select(
-            F.lit(FAIR_CATEGORY).alias("category"),
-            (F.row_number().over(w) - 1).cast("int").alias("ord"),
-            "name", F.col("lat").cast("double"), F.col("lon").cast("double")))
-    return df
+        found = fairs.select("name", "lat", "lon").orderBy("name").limit(MAX_FAIRS + 1).collect()
+        if len(found) > MAX_FAIRS:
+            raise ValueError(f"more than {MAX_FAIRS} fairs")
+        rows = [r for r in rows if r[0] != FAIR_CATEGORY] + [(FAIR_CATEGORY, i, r["name"], float(r["lat"]), float(r["lon"])) for i, r in enumerate(found)]
+    return spark.createDataFrame(rows, POI_SCHEMA)
 
 
 def zone_rows():
