@@ -7,6 +7,7 @@ gets a folder of its own; elsewhere it is an error.
 """
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -56,8 +57,13 @@ def range_bucket(df: DataFrame, key: str, buckets: int) -> Column:
     bounds = sorted(set(bounds or []))
     if not bounds:
         return F.lit(0)
-    below = F.array(*[F.lit(b) for b in bounds])
-    return F.when(F.col(key).isNull(), 0).otherwise(F.size(F.filter(below, lambda b: b <= F.col(key)))).cast("int")
+    # two steps of about sqrt(bounds) comparisons: whole rows of bounds below, then those of one row
+    wide = math.isqrt(len(bounds) - 1) + 1
+    table = [bounds[i:i + wide] for i in range(0, len(bounds), wide)]
+    below = lambda row: F.size(F.filter(row, lambda b: b <= F.col(key)))
+    rows = below(F.array(*[F.lit(r[-1]) for r in table]))
+    rest = F.get(F.array(*[F.array(*map(F.lit, r)) for r in table]), rows)
+    return F.when(F.col(key).isNull(), 0).otherwise(rows * wide + F.when(rest.isNull(), 0).otherwise(below(rest))).cast("int")
 
 
 def offsets(counts: DataFrame, group: list[str], bucket: str, n: str, out: str) -> DataFrame:

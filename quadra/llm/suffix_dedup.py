@@ -33,8 +33,8 @@ from quadra.llm.shared import bitmap, in_bitmap, mix, powers, runs, span_hash, s
 LENGTH = 400
 GRAM = 16
 CHUNK = 1 << 19
-TASK_BYTES = 1 << 21
-HOT_BYTES = 1 << 23
+TASK_BYTES = 1 << 20
+HOT_BYTES = 1 << 21
 
 # ---------------------------------------------------------------- suffix array
 
