@@ -143,17 +143,18 @@ def _report(index: Index, word: np.ndarray, at: np.ndarray, owner: np.ndarray, p
         by[o].append(a - p)
     for o, diagonals in by.items():
         template = index.words[o]
+        band = min(BAND, max(1, len(template) // 2))  # two copies of a short template are two candidates
         diagonals.sort()
         first = last = diagonals[0]
         for d in [*diagonals[1:], None]:
-            if d is not None and d - last <= BAND:
+            if d is not None and d - last <= band:
                 last = d
                 continue
-            for middle in range(first, last + 1, BAND):
-                middle = min(middle + BAND // 2, last) if last > first else first
-                lo = max(0, middle - BAND)
-                hi = min(len(word), middle + len(template) + BAND)
-                pairs = [j + lo if j >= 0 else -1 for j in align(template, word[lo:hi], middle - lo, BAND)]
+            for middle in range(first, last + 1, band):
+                middle = min(middle + band // 2, last) if last > first else first
+                lo = max(0, middle - band)
+                hi = min(len(word), middle + len(template) + band)
+                pairs = [j + lo if j >= 0 else -1 for j in align(template, word[lo:hi], middle - lo, band)]
                 hit = [j for j in pairs if j >= 0]
                 if hit and len(hit) / len(template) >= least:
                     found.append((-len(hit), -len(template), index.names[o], hit))
