@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes covered by a ``length``-byte string that also starts elsewhere.
 
 Split into tasks by content.  Every ``length``-byte window has a key, the least hash of its ``GRAM``-byte
-grams; equal windows have equal keys.  A *segment* is a run of windows of one key in a text (about one
+grams (a quarter of the window at most); equal windows have equal keys.  A *segment* is a run of windows of one key in a text (about one
 per ``length`` / 2 bytes).  Equal texts are one class (a class of two or more is removed whole, if long
 enough, and takes part once); equal segments are one content (a content in two places is repeated as
 a whole).  What is left are keys with several different contents, or with one that may
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from quadra.llm.shared import bitmap, in_bitmap, mix, powers, runs, span_hash, stored, text_bytes
 
 LENGTH = 400
-GRAM = 16
+GRAM = 64
 CHUNK = 1 << 19
 TASK_BYTES = 1 << 20
 HOT_BYTES = 1 << 21
@@ -164,9 +164,10 @@ def segments(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
     none = np.zeros(0, np.int64)
     if end - base < length:
         return none, none, none, none.astype(np.uint64), none.astype(bool)
-    gram = np.arange(base, end - GRAM + 1)
-    h = span_hash(data, gram, gram + GRAM, lower=False)
-    key = _sliding_min(h, length - GRAM + 1)
+    size = min(GRAM, length // 4)
+    gram = np.arange(base, end - size + 1)
+    h = span_hash(data, gram, gram + size, lower=False)
+    key = _sliding_min(h, length - size + 1)
     p = np.arange(base, base + len(key))
     row = np.searchsorted(at, p, "right") - 1
     inside = p + length <= at[row + 1]
