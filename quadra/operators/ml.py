@@ -71,6 +71,61 @@ def fair_price(df: DataFrame, target: str = "valor", model: str = "gbt", max_ite
                                                                                   *[f"{c}_idx" for c in cats])
 
 
+def share(key: str, parts: int) -> F.Column:
+    """A part 0 .. parts - 1 of a row by the MD5 of its key: the same on every run and at every size."""
+    return (F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % parts).cast("int")
+
+
+def regressors(n: int, target: str = "valor", seed: int = 42) -> dict:
+    """M7: the compared models.  FIXED VALUES: their settings; a penalty per row, as the loss here is a mean.
+
+    Neighbour regression is left out: it needs every row beside every other.
+    """
+    common = {"labelCol": target, "featuresCol": "features"}
+    return {
+        "GradientBoosting": GBTRegressor(**common, maxIter=200, maxDepth=4, stepSize=0.05, minInstancesPerNode=3, subsamplingRate=0.8, seed=seed),
+        "RandomForest": RandomForestRegressor(**common, numTrees=200, maxDepth=6, minInstancesPerNode=3, seed=seed),
+        "Ridge": LinearRegression(**common, regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False),
+        "Lasso": LinearRegression(**common, regParam=1000.0, elasticNetParam=1.0, standardization=False, maxIter=5000),
+    }
+
+
+def cross_validate(df: DataFrame, features: list[str], target: str = "valor", key: str = "id_imovel", folds: int = 5,
+                   models: tuple[str, ...] = ("GradientBoosting", "RandomForest", "Ridge", "Lasso")) -> DataFrame:
+    """M7 + M12: mean and deviation of R² and mean MAE over held-out folds, a row per model.
+
+    All fits are Spark jobs over the cached features; only a few numbers per fold reach the driver.
+    """
+    cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
+    rows = df.where(F.col(target) > 0).select(share(key, folds).alias("fold"), F.col(target).cast("double").alias(target), *cols)
+    prepared = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)])
+    rows = rows.persist()
+    out = []
+    n = rows.count()
+    for name in models:
+        r2, mae = [], []
+        for fold in range(folds):
+            train, test = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+            fitted = Pipeline(stages=[*prepared.getStages(), regressors(n, target)[name]]).fit(train)
+            seen = fitted.transform(test).select(F.col(target).alias("y"), F.col("prediction").alias("p"))
+            s = seen.agg(F.sum(F.pow(F.col("y") - F.col("p"), 2)).alias("sse"), (F.var_pop("y") * F.count("y")).alias("sst"), F.avg(F.abs(F.col("y") - F.col("p"))).alias("mae")).first()
+            if s["sst"]:
+                r2.append(1 - s["sse"] / s["sst"])
+                mae.append(s["mae"])
+        out.append((name, len(r2), float(np.mean(r2)) if r2 else None, float(np.std(r2)) if r2 else None, float(np.mean(mae)) if mae else None))
+    rows.unpersist()
+    return df.sparkSession.createDataFrame(out, "modelo string, folds int, r2_media double, r2_desvio double, mae_media double")
+
+
+def train_test_linear(df: DataFrame, features: list[str], target: str = "valor", key: str = "id_imovel", test_share: int = 30) -> DataFrame:
+    """Plain linear regression on 70 % of the rows; R² on those and on the other 30 %."""
+    cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]
+    rows = df.select((share(key, 100) < test_share).alias("test"), F.col(target).cast("double").alias(target), *cols).persist()
+    fitted = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), LinearRegression(labelCol=target, featuresCol="features")]).fit(rows.where(~F.col("test")))
+    seen = fitted.transform(rows).groupBy("test").agg(F.count(F.lit(1)).alias("n"), (1 - F.sum(F.pow(F.col(target) - F.col("prediction"), 2)) / (F.var_pop(target) * F.count(F.lit(1)))).alias("r2"))
+    return seen.select(F.when(F.col("test"), "teste").otherwise("treino").alias("amostra"), "n", "r2")
+
+
 def elbow(costs: list[float], kmax: int) -> int:
     """The k after which the cost drops least, relative to the drop before: smallest ratio of successive drops.
 

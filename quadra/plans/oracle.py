@@ -768,6 +768,10 @@ register("stream_counters", "SELECT event_type, count(*) AS n FROM events GROUP
 
 
 # ----------------------------------------------------------------------------- sources and sinks
+register("cv_folds", with_silver(f"""
+SELECT CAST(CAST('0x' || substr(md5(id_imovel), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold, count(*) AS n, {rnd('avg(valor)', 2)} AS valor_medio
+FROM silver WHERE valor > 0 GROUP BY 1
+"""))
 register("union_part_rows", f"""SELECT url, valor, area_m2, quartos, vagas, banheiros, suites, andar, nullif(tipo_imovel, '') AS tipo_imovel, status_construcao,
        bairro, cidade, rua, numero, condominio, iptu, destaque, descricao, nota_media, total_avaliacoes, dias_publicado,
        dias_atualizado, latitude, longitude, origem_geo FROM ({lv.listing_view_sql()})""")

@@ -368,6 +368,28 @@ def q_price_gbt(spark, sf_dir):
     return p.select("id_imovel", "valor", "preco_estimado_ml", "delta_preco_ml_pct", "oportunidade_ml", "ml_r2_score")
 
 
+CV_FEATURES = ["area_m2", "quartos", "vagas", "banheiros", "suites", "andar", "condominio", "iptu", "latitude", "longitude"]
+
+
+@query
+def q_cv_folds(spark, sf_dir):
+    """M7 (folds): rows and mean price of each of the five folds."""
+    s = silver(spark, sf_dir).where(F.col("valor") > 0)
+    return s.groupBy(ml.share("id_imovel", 5).alias("fold")).agg(F.count(F.lit(1)).alias("n"), F.bround(F.avg("valor"), 2).alias("valor_medio"))
+
+
+@query
+def q_model_cv(spark, sf_dir):
+    """M7 + M12: held-out R² and MAE of forest, ridge and lasso over five folds."""
+    return ml.cross_validate(silver(spark, sf_dir), CV_FEATURES, models=("RandomForest", "Ridge", "Lasso"))
+
+
+@query
+def q_early_regression(spark, sf_dir):
+    """Linear regression with a 70/30 split, R² of both parts."""
+    return ml.train_test_linear(silver(spark, sf_dir), ["vagas", "banheiros", "quartos", "area_m2", "iptu", "condominio"])
+
+
 @query
 def q_clusters(spark, sf_dir):
     """M13 + M14: k-means with the elbow rule and cluster labels."""
