@@ -1,14 +1,14 @@
 """Phases 13-15 — features, fair-price model, clusters, anomalies, PCA (M1-M18) on ``pyspark.ml``.
 
-Training runs as Spark ML jobs over the partitioned table; the isolation
-forest (not in ``pyspark.ml``) fits small trees on a *bounded* sample
-(trees × sample size rows, a parameter, not the data size) and scores every
-row in parallel with ``mapInPandas``.
+Training runs as Spark ML jobs over the partitioned table; the trees of the
+isolation forest (not in ``pyspark.ml``) grow in tasks, one group of sampled
+rows each, and score every row in whole Arrow batches.
 """
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quadra.functions.order import exact_quantiles
+from quadra.session import stored
+
 LEAKAGE = {"valor", "preco_m2", "preco_m2_real", "preco_m2_referencia", "diferenca_percentual", "custo_aquisicao_total",
            "itbi_estimado", "cartorio_estimado", "aluguel_estimado", "fluxo_caixa_mensal", "delta_escritura_pct"}
 BASE_FEATURES = ["area_m2", "quartos", "vagas", "banheiros", "suites", "andar", "condominio", "iptu", "latitude",
@@ -165,63 +168,80 @@ def cluster_labels(df: DataFrame, value: str = "valor", area: str = "area_m2") -
 
 # ----------------------------------------------------------------------------- isolation forest
 
-def _c_factor(n: int) -> float:
-    if n <= 1:
-        return 0.0
-    return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n
-
-
-def _grow(x: np.ndarray, rng: np.random.Generator, depth: int, limit: int):
-    n = len(x)
-    if depth >= limit or n <= 1:
-        return ("leaf", n)
-    lo, hi = x.min(axis=0), x.max(axis=0)
-    cand = np.where(hi > lo)[0]
-    if len(cand) == 0:
-        return ("leaf", n)
-    f = int(rng.choice(cand))
-    s = float(rng.uniform(lo[f], hi[f]))
-    left = x[:, f] < s
-    return ("node", f, s, _grow(x[left], rng, depth + 1, limit), _grow(x[~left], rng, depth + 1, limit))
-
-
-def _path(tree, row: np.ndarray, depth: int = 0) -> float:
-    while tree[0] == "node":
-        _, f, s, left, right = tree
-        tree = left if row[f] < s else right
-        depth += 1
-    return depth + _c_factor(tree[1])
+NODES = "tree int, node int, feature int, split double, depth double"  # a leaf has feature -1; children of i are 2i + 1 and 2i + 2
+
+
+def _mean_path(n: np.ndarray | int) -> np.ndarray:
+    """Mean depth of an unsuccessful search among n points."""
+    n = np.asarray(n, float)
+    return np.where(n > 1, 2.0 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649) - 2.0 * (n - 1) / np.maximum(n, 1), 0.0)
+
+
+def _grow(features: list[str], limit: int, seed: int):
+    """One random tree from the rows of a group."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        tree = key[0].as_py()
+        x = np.column_stack([table.column(c).to_numpy() for c in features])
+        rng = np.random.default_rng([seed, tree])
+        out, todo = [], [(0, 0, np.arange(len(x)))]
+        while todo:
+            node, depth, rows = todo.pop()
+            lo, hi = x[rows].min(0), x[rows].max(0)
+            usable = np.flatnonzero(hi > lo)
+            if depth == limit or not len(usable):
+                out.append((tree, node, -1, 0.0, depth + float(_mean_path(len(rows)))))
+                continue
+            f = int(rng.choice(usable))
+            split = float(rng.uniform(lo[f], hi[f]))
+            out.append((tree, node, f, split, 0.0))
+            left = x[rows, f] <= split
+            todo += [(2 * node + 1, depth + 1, rows[left]), (2 * node + 2, depth + 1, rows[~left])]
+        names = ["tree", "node", "feature", "split", "depth"]
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(names, zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64()), strict=True)})
+    return run
 
 
 def isolation_forest(df: DataFrame, features: list[str], trees: int = 200, sample: int = 256,
-                     contamination: float = 0.05, seed: int = 42) -> DataFrame:
-    """Anomaly score 2^(−E[h]/c(ψ)); flagged when above the (1 − contamination) quantile."""
-    x = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
-    n = x.count()
-    frac = min(1.0, trees * sample / max(n, 1))
-    pool = x.sample(fraction=frac, seed=seed).limit(trees * sample).toPandas().to_numpy()  # bounded by parameters
-    rng = np.random.default_rng(seed)
-    limit = int(np.ceil(np.log2(sample)))
-    forest = []
-    for _ in range(trees):
-        idx = rng.choice(len(pool), size=min(sample, len(pool)), replace=False)
-        forest.append(_grow(pool[idx], rng, 0, limit))
-    bc = df.sparkSession.sparkContext.broadcast((forest, _c_factor(min(sample, len(pool)))))
+                     contamination: float = 0.05, seed: int = 42, key: str = "id_imovel") -> DataFrame:
+    """Anomaly score 2^(-E[depth] / c(sample)); flagged from the (1 - contamination) quantile on.
+
+    About ``trees * sample`` rows, chosen and dealt to the trees by hash, grow one tree per group, in
+    tasks; the forest (``trees * 2 * sample`` nodes at most) is broadcast and scores whole batches.
+    """
+    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
+    n = df.count()
+    limit = max(1, int(np.ceil(np.log2(sample))))
+    dealt = filled.select(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)).alias("h"), F.pmod(F.xxhash64(key, F.lit(seed + 1)), F.lit(trees)).cast("int").alias("tree"), *features)
+    dealt = dealt.where(F.col("h") < F.lit(min(1 << 30, (trees * sample << 30) // max(n, 1)))).drop("h")
+    nodes = dealt.groupBy("tree").applyInArrow(_grow(features, limit, seed), NODES).toArrow()
+    tree, node = nodes.column("tree").to_numpy(), nodes.column("node").to_numpy()
+    names, row = np.unique(tree, return_inverse=True)
+    width = 2 ** (limit + 1)
+    feature, split, depth = np.full((len(names), width), -1), np.zeros((len(names), width)), np.zeros((len(names), width))
+    for grid, column in ((feature, "feature"), (split, "split"), (depth, "depth")):
+        grid[row, node] = nodes.column(column).to_numpy()
+    shared = df.sparkSession.sparkContext.broadcast((feature, split, depth))
+    norm = max(float(_mean_path(min(sample, max(2, n // trees if n < trees * sample else sample)))), 1e-9)
+    kept = filled.columns
 
     def score(batches):
-        fs, c = bc.value
-        for pdf in batches:
-            arr = pdf[features].fillna(0.0).astype(float).to_numpy()
-            h = np.array([np.mean([_path(t, r) for t in fs]) for r in arr]) if len(arr) else np.array([])
-            pdf = pdf.copy()
-            pdf["anomaly_score"] = np.power(2.0, -h / c) if c > 0 else 0.0
-            yield pdf
-
-    scored = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
-    out_schema = T.StructType(list(scored.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
-    scored = scored.mapInPandas(score, schema=out_schema)
-    thr = scored.select(F.percentile_approx("anomaly_score", 1 - contamination, 100_000)).scalar()
-    return scored.withColumn("__thr", thr).withColumn("anomalia", (F.col("anomaly_score") >= F.col("__thr")).cast("int")).drop("__thr")
+        feature, split, depth = shared.value
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in features]) if batch.num_rows else np.zeros((0, len(features)))
+            total = np.zeros(len(x))
+            for f, s, d in zip(feature, split, depth, strict=True):
+                at = np.zeros(len(x), int)
+                for _ in range(limit):
+                    inner = f[at] >= 0
+                    right = x[np.arange(len(x)), np.maximum(f[at], 0)] > s[at]
+                    at = np.where(inner, 2 * at + 1 + right, at)
+                total += d[at]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(2.0 ** (-total / max(len(feature), 1) / norm))], [*kept, "anomaly_score"])
+
+    schema = T.StructType([*filled.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
+    scored = stored(filled.mapInArrow(score, schema), "anomaly")
+    bound, _ = exact_quantiles(scored, "anomaly_score", [1 - contamination])
+    return scored.withColumn("anomalia", (F.col("anomaly_score") >= F.lit(bound[0] if bound else 1.0)).cast("int"))
 
 
 def anomaly_type(est: str = "preco_estimado_ml", value: str = "valor", flag: str = "anomalia") -> F.Column:

@@ -403,7 +403,7 @@ def q_anomalies(spark, sf_dir):
     """M15 + M16: isolation-forest score, 5 % flag and anomaly type (against the reference price)."""
     g = gold(spark, sf_dir).withColumn("preco_estimado_ml", F.col("preco_m2_referencia") * F.col("area_m2"))
     s = ml.isolation_forest(g.select("id_imovel", "valor", "preco_m2", "preco_estimado_ml", *ML_FEATURES),
-                            ML_FEATURES + ["valor", "preco_m2"], trees=100)
+                            ML_FEATURES + ["valor", "preco_m2"])
     return s.select("id_imovel", F.bround("anomaly_score", 4).alias("anomaly_score"), "anomalia",
                     ml.anomaly_type().alias("tipo_anomalia"))
 

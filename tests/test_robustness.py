@@ -102,3 +102,12 @@ def test_bi_file_has_a_mark_and_reads_back(spark):
     path = sinks.write_bi(df)
     assert any(open(f, "rb").read().startswith(b"\xef\xbb\xbfid;x") for f in glob.glob(path.removeprefix("file:") + "/*.csv"))
     assert [tuple(r) for r in files.read_bi(spark, path).collect()] == [("a", "1.5")]
+
+
+def test_isolation_forest_finds_the_far_point(spark):
+    rng = random.Random(3)
+    rows = [(str(i), rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(600)] + [("far", 40.0, -40.0)]
+    df = spark.createDataFrame(rows, "id_imovel string, x double, y double")
+    got = ml.isolation_forest(df, ["x", "y"], trees=40, sample=64).collect()
+    assert max(got, key=lambda r: r.anomaly_score).id_imovel == "far"
+    assert 0.03 < sum(r.anomalia for r in got) / len(got) < 0.08
