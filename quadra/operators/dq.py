@@ -5,7 +5,7 @@ passes per field), then unpivoted with ``inline`` to one row per rule.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadra import dims
@@ -118,9 +118,15 @@ def constant_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """Counts per value with the rank (ties by value); top-3 = rank <= 3."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return counts
+    """Q10: counts per value."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def top_values(df: DataFrame, col: str, k: int = 3) -> DataFrame:
+    """The ``k`` most common values with their rank (ties by value); a top-k report."""
+    order = [F.desc("n"), F.col(col)]
+    top = value_counts(df, col).orderBy(*order).limit(k)
+    return top.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), col, "n")  # over k rows
 
 
 def opportunity_level(delta: str = "delta_pct") -> Column:

@@ -527,6 +527,8 @@ register("constant_columns", with_bi(", cagg AS (SELECT " + ", ".join(
     f"SELECT {q(c)} AS coluna, mn{i} AS minimo, mx{i} AS maximo, CAST(coalesce(mn{i} = mx{i}, true) AS INTEGER) AS constante FROM cagg"
     for i, c in enumerate(_CONST))))
 register("value_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+register("top_values", """SELECT CAST(row_number() OVER (ORDER BY n DESC, event_type) AS INTEGER) AS rank, event_type, n FROM (
+  SELECT event_type, count(*) AS n FROM events GROUP BY event_type) ORDER BY rank LIMIT 3""")
 register("distribution_report", with_gold("""
 , dist AS (SELECT 'origem_geo' AS campo, coalesce(origem_geo, 'nan') AS valor FROM prof
            UNION ALL SELECT 'tipo_imovel', coalesce(tipo_imovel, 'nan') FROM prof
@@ -575,6 +577,7 @@ SELECT row_number() OVER (ORDER BY diferenca_percentual, id_imovel) AS rank, id_
        CASE WHEN diferenca_percentual < -40 THEN '🔥🔥🔥 EXCEPCIONAL' WHEN diferenca_percentual < -25 THEN '🔥🔥 FORTE'
             ELSE '🔥 MODERADA' END AS nivel
 FROM prof WHERE diferenca_percentual < -15"""))
+register("opportunities_by_type", with_gold("SELECT tipo_imovel, count(*) AS n FROM prof WHERE diferenca_percentual < -15 GROUP BY tipo_imovel"))
 register("opportunities_by_zone", with_gold("SELECT zona, count(*) AS n FROM prof WHERE diferenca_percentual < -15 GROUP BY zona"))
 
 

@@ -178,6 +178,12 @@ def q_value_counts(spark, sf_dir):
     return dq.value_counts(ev, "event_type")
 
 
+@query
+def q_top_values(spark, sf_dir):
+    """The three most common event types."""
+    return dq.top_values(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_type")
+
+
 @query
 def q_distribution_report(spark, sf_dir):
     """Q10: geo origin / type / status distribution in long form (one shuffle)."""
@@ -261,6 +267,13 @@ def q_opportunities_by_zone(spark, sf_dir):
     return g.groupBy("zona").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def q_opportunities_by_type(spark, sf_dir):
+    """Opportunities per property type."""
+    g = gold(spark, sf_dir).filter(F.col("diferenca_percentual") < -15)
+    return g.groupBy("tipo_imovel").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ----------------------------------------------------------------------------- text extraction
 from quadra.operators import extract  # noqa: E402
 from quadra.sources.listing_view import AS_OF, text_view  # noqa: E402
