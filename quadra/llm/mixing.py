@@ -47,9 +47,9 @@ def hash60(key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("bigint")
 
 
-def _bucket(level: int) -> Column:
+def _bucket(level: int, h: str = "h") -> Column:
     """The bits of the hash down to ``level``."""
-    return F.shiftright("h", 60 - BITS * (level + 1))
+    return F.shiftright(h, 60 - BITS * (level + 1))
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> tuple[DataFrame, int]:
@@ -87,12 +87,14 @@ def mix(docs: DataFrame, size: Column, source: str = "source", key: str = "doc_i
     """
     names = ("size", "source_size", "target", "copies")
     label = F.col(f"`{source}`").cast("string")
-    sized = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], size.cast("long").alias("size"), label.alias("_source"), hash60(F.col(f"`{key}`")).alias("h"))
+    sized = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], size.cast("long").alias("size"), label.alias("_source"), hash60(F.col(f"`{key}`")).alias("_h"))
     by_source, level = plan(docs.select(label.alias("source"), size.cast("long").alias("size"), hash60(F.col(f"`{key}`")).alias("h")), weights, epochs)
-    bucket = _bucket(level)
-    extra = F.when(F.col("rest") <= 0, 0).when(F.col("prefix") < 0, 1).when(bucket < F.col("prefix"), 1).when((bucket == F.col("prefix")) & F.col("nearer"), 1).otherwise(0)
-    out = sized.join(if_small(by_source), F.col("_source").eqNullSafe(F.col("s")))
-    return out.withColumn("copies", F.when(F.col("size") > 0, F.col("q") + extra).otherwise(0).cast("int")).drop("_source", "h", "s", "q", "rest", "prefix", "nearer")
+    inner = ["s", "q", "rest", "prefix", "nearer"]
+    by_source = by_source.select("source_size", "target", *[F.col(c).alias(f"_{c}") for c in inner])
+    bucket = _bucket(level, "_h")
+    extra = F.when(F.col("_rest") <= 0, 0).when(F.col("_prefix") < 0, 1).when(bucket < F.col("_prefix"), 1).when((bucket == F.col("_prefix")) & F.col("_nearer"), 1).otherwise(0)
+    out = sized.join(if_small(by_source), F.col("_source").eqNullSafe(F.col("_s")))
+    return out.withColumn("copies", F.when(F.col("size") > 0, F.col("_q") + extra).otherwise(0).cast("int")).drop("_source", "_h", *[f"_{c}" for c in inner])
 
 
 def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:

@@ -84,7 +84,7 @@ def test_lines_match_all_pairs(spark):
             body.append(rng.choice([" ", "  "]).join(w))
         docs.append((i, "\n".join(body)))
     docs += [(60, None), (61, ""), (62, "\n\n"), (63, " ".join(words * 100)), (64, " ".join(words))]
-    df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("kept", F.lit(1)).withColumn("n_removed", F.lit("x"))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumns({"kept": F.lit(1), "n_removed": F.lit("x"), "k": F.lit(3), "t": F.lit("u")})
     got = {r.doc_id: r for r in line_dedup.dedup_lines(df).collect()}
     for (i, text), want in zip(docs, brute.kept_lines(docs), strict=True):
         assert (got[i].kept or []) == want
@@ -207,8 +207,8 @@ def test_licenses(spark):
 
 
 def test_mixing(docs, rows, empty):
-    out = mixing.mix_documents(docs).collect()
-    assert len(out) == len(rows)
+    out = mixing.mix_documents(docs.withColumns({"h": F.lit(1), "s": F.lit("a"), "q": F.lit(9)})).collect()
+    assert len(out) == len(rows) and {(r.h, r.s, r.q) for r in out} == {(1, "a", 9)}
     total = sum(r.size for r in out)
     by = {}
     for r in out:
@@ -220,7 +220,8 @@ def test_mixing(docs, rows, empty):
     assert sum(s[0] for s in by.values()) == pytest.approx(total, abs=1e-3)
     for target, size, seen, taken, largest in by.values():
         assert size == seen and target <= 3 * size + 1e-6 and abs(taken - target) <= max(largest / 2, 1)
-    assert [sorted(map(str, r)) for r in sorted(out, key=str)] == [sorted(map(str, r)) for r in sorted(mixing.mix_documents(docs).collect(), key=str)]
+    again = mixing.mix_documents(docs.repartition(2)).collect()
+    assert sorted((str(r.doc_id), str(r.text), r.copies) for r in out) == sorted((str(r.doc_id), str(r.text), r.copies) for r in again)
 
 
 @pytest.mark.parametrize("seed", range(4))
