@@ -85,13 +85,14 @@ QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_langua
 _WORDS = r"list_filter(string_split(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda w: w <> '')"
 
 OP6_SQL = f"""
-WITH RECURSIVE w AS (
+WITH RECURSIVE w AS MATERIALIZED (
   SELECT doc_id, list_transform({_WORDS}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
         ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s FROM w),
-e AS (SELECT doc_id, unnest(s) AS x FROM s),
-c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-l AS (SELECT c.a, c.b FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
+e AS MATERIALIZED (SELECT doc_id, md5(unnest(s)) AS x FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+k AS MATERIALIZED (SELECT c.a, c.b FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
+l AS MATERIALIZED (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
 r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.root) AS component_id FROM s JOIN r ON r.node = s.doc_id GROUP BY s.doc_id, s.s
 """
