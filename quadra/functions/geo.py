@@ -7,6 +7,8 @@ point sets are rejected rather than silently truncated.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,6 +50,28 @@ def ranked_distances(lat, lon, points) -> Column:
         haversine(la, lo, p["lat"], p["lon"]).alias("dist"), p["ord"].alias("ord"), p["name"].alias("name")))
 
 
+def nearest_radians(lat_r: Column, lon_r: Column, cos_lat: Column, valid: Column, points) -> Column:
+    """:func:`nearest` from columns that hold the row's radians and cosine once for all categories.
+
+    Points are compared by the haversine itself, which grows with the distance; only the winner pays
+    for root and arcsine.
+    """
+    if not points:
+        return F.struct(F.lit(EMPTY_CATEGORY_DIST).alias("dist"), F.lit("N/A").alias("name"))
+    if len(points) > MAX_INLINE_POIS:
+        raise ValueError(f"{len(points)} POIs exceed the inline bound {MAX_INLINE_POIS}")
+    items = ", ".join(f"named_struct('ord', {int(o)}, 'name', {_sql_str(n)}, 'la', CAST({math.radians(la)!r} AS DOUBLE), "
+                      f"'lo', CAST({math.radians(lo)!r} AS DOUBLE), 'c', CAST({math.cos(math.radians(la))!r} AS DOUBLE))" for o, n, la, lo in points)
+
+    def away(p) -> Column:
+        x, y = F.sin((p["la"] - lat_r) / 2), F.sin((p["lo"] - lon_r) / 2)
+        return F.struct((x * x + cos_lat * p["c"] * (y * y)).alias("a"), p["ord"].alias("ord"), p["name"].alias("name"))
+
+    best = F.array_min(F.when(valid, F.transform(F.expr(f"array({items})"), away)).otherwise(F.array()))
+    dist = F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(best["a"]))
+    return F.struct(F.coalesce(F.bround(dist, 2), F.lit(UNKNOWN_DIST)).alias("dist"), F.coalesce(best["name"], F.lit("N/A")).alias("name"))
+
+
 def nearest(lat, lon, points) -> Column:
     """struct<dist(2 dp), name> of the nearest POI; first POI wins ties.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadra import dims
-from quadra.functions.geo import k_nearest, nearest
+from quadra.functions.geo import k_nearest, nearest_radians
 from quadra.functions.text import title_case, trim_ws
 
 
@@ -32,11 +32,16 @@ def poi_categories_from(poi: DataFrame, max_points: int = 10_000) -> dict:
 
 def nearest_pois(df: DataFrame, categories=None, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """G2 + J8 + J10: ``dist_*_km`` / ``*_prox`` per category and the transport merge."""
-    tmp = {}
-    for cat, _, _ in dims.GEO_COLUMNS:
-        tmp[f"__nn_{cat}"] = nearest(lat, lon, category_points(categories, cat))
-    tmp["__nn_metro"] = nearest(lat, lon, category_points(categories, "transporte_hub"))
-    tmp["__nn_brt"] = nearest(lat, lon, category_points(categories, "brt_stations"))
+    la, lo = F.col(lat), F.col(lon)
+    base = {"__la": F.radians(la), "__lo": F.radians(lo), "__cos": F.cos(F.radians(la)),
+            "__ok": F.coalesce((la != 0) & (lo != 0), F.lit(False))}
+    df = df.withColumns(base)
+
+    def near(cat: str) -> F.Column:
+        return nearest_radians(F.col("__la"), F.col("__lo"), F.col("__cos"), F.col("__ok"), category_points(categories, cat))
+
+    tmp = {f"__nn_{cat}": near(cat) for cat, _, _ in dims.GEO_COLUMNS}
+    tmp["__nn_metro"], tmp["__nn_brt"] = near("transporte_hub"), near("brt_stations")
     df = df.withColumns(tmp)
     out = {}
     for cat, dcol, ncol in dims.GEO_COLUMNS:
@@ -45,7 +50,7 @@ def nearest_pois(df: DataFrame, categories=None, lat: str = "latitude", lon: str
     brt_closer = F.col("__nn_brt.dist") < F.col("__nn_metro.dist")
     out["dist_transporte_km"] = F.when(brt_closer, F.col("__nn_brt.dist")).otherwise(F.col("__nn_metro.dist"))
     out["transporte_prox"] = F.when(brt_closer, F.col("__nn_brt.name")).otherwise(F.col("__nn_metro.name"))
-    return df.withColumns(out).drop(*tmp.keys())
+    return df.withColumns(out).drop(*tmp, *base)
 
 
 def mobility_score(d) -> F.Column:
