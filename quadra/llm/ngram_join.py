@@ -165,7 +165,7 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5,
     marks = bitmap(copied, "node")
     twice = in_bitmap(marks, F.col("node"))
     chosen = some.where(twice).join(copied, "node", "left").where(F.col("h").isNull() | F.struct("doc", "rid").eqNullSafe(F.col("h"))).drop("h")
-    heads = some.where(~twice).unionByName(chosen.dropDuplicates(["node"])).drop("doc")
+    heads = stored(some.where(~twice).unionByName(chosen.dropDuplicates(["node"])).drop("doc"), "heads")
 
     # groups: each node against the most typical one of its min-hash
     item = F.struct("typical", "node", "rid", "n", "s0", "s1")
