@@ -58,7 +58,9 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", reach: int =
     rows = rows.select("_row", key, F.explode_outer(F.concat(*kinds[:BASE], F.when(any_id, F.concat(kinds[3], *extra)).otherwise(none))).alias("p"))
     rows = rows.select("_row", key, "p.*")
     upto = Window.partitionBy("_row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto)).withColumn("start", F.col("end") - F.col("size")).where(F.col("ok") | F.col("kind").isNull())
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto)).withColumn("start", F.col("end") - F.col("size"))
+    # what fails its least length loses its kind, not its row: a document of nothing else stays
+    rows = rows.withColumn("kind", F.when(F.col("ok"), F.col("kind")))
 
     order = Window.partitionBy("_row").orderBy("start", "kind")
     rows = rows.withColumn("scope", F.sum((F.col("kind") == len(KINDS)).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))

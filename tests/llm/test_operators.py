@@ -131,6 +131,17 @@ def test_secrets(spark):
     assert weak[5] == ["weak_id", "weak_key"] and weak[8] == ["endpoint", "weak_id", "weak_key"]
 
 
+def test_secrets_too_short_keep_their_document(spark):
+    key = "AbCdEf0123456789AbCdEf0123456789AbCdEf01"
+    texts = ["token: abc", "secret = yes", "AKIA123456789012", "token: abc\n\ntoken: def", f"token: abc login: bob {key}", "token: abc login: bob"]
+    df = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id bigint, text string")
+    got = secrets.scan(df).withColumn("s", secrets.as_text(F.col("spans"))).collect()
+    assert sorted(r.doc_id for r in got) == [0, 0, 1, 2, 3, 4, 5]
+    by = {r.doc_id: r.s for r in got}
+    assert by[0] == by[1] == by[3] == by[5] == "" and by[2] == "access:0:16"
+    assert [x.split(":")[0] for x in by[4].split(",")] == ["weak_id", "weak_key"]
+
+
 def test_fingerprints(docs, rows):
     got = fingerprints.fingerprint_edits(docs).select("k", "n", "edited", "f", "fe", fingerprints.likeness("f", "fe").alias("near"), fingerprints.likeness("f", "next_f").alias("next")).collect()
     order = sorted(((r[0] is not None, r[0] or 0, r[1] or "") for r in rows))
