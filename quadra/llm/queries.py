@@ -39,7 +39,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, min_words=line_dedup.ANY_WORDS)
     return out.select("doc_id", F.size("kept").cast("long").alias("n_kept"), "n_removed", F.sha2(F.concat_ws("\n", "kept"), 256).alias("kept_sha256"))
 
 

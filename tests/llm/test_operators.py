@@ -91,6 +91,20 @@ def test_lines_match_all_pairs(spark):
         assert got[i].n_removed == (len(text.split("\n")) if text is not None else 0) - len(want)
 
 
+def test_short_lines_match_too(spark, tmp_path):
+    from quadra.llm import queries
+
+    rng = random.Random(3)
+    short = ["menu", "home page", "a b c", "b a c d", "a b c d e", "同じ行です", "https://x.example/y", "na na na", " \t", ""]
+    docs = [(i, "\n".join(rng.choice(short) + rng.choice(["", " "]) for _ in range(rng.randint(1, 6)))) for i in range(40)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.op4_line_dedup(spark, str(tmp_path)).collect()}
+    for (i, text), want in zip(docs, brute.kept_lines(docs, least=1), strict=True):
+        assert (got[i].n_kept, got[i].n_removed) == (len(want), len(text.split("\n")) - len(want))
+        assert got[i].kept_sha256 == hashlib.sha256("\n".join(want).encode()).hexdigest()
+    assert sum(r.n_removed for r in got.values()) > 60
+
+
 def test_repeats_match_brute_force(docs, rows, spark):
     for length in (400, 40):
         got = suffix_dedup.remove_repeats(docs, length=length).collect()
