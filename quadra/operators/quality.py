@@ -23,8 +23,8 @@ def with_canonical_id(df: DataFrame, url_col: str = "url") -> DataFrame:
 def dedup_first(df: DataFrame, key: str = "id_imovel", order_col: str = "src_order") -> DataFrame:
     """Keep the first row per ``key`` in ``order_col`` order; of rows that tie on both, one.
 
-    1. ``min(order)`` per key.  With a scalar order (BIGINT) this is a hash aggregate combined
-       map-side, so a key holding a third of all rows is reduced inside every task;
+    1. ``min(order)`` per key, combined map-side (a scalar order hashes, a struct sorts inside the
+       task), so a key holding a third of all rows is reduced inside every task;
     2. left-semi join back on ``(key, first order)``: both are hash keys, so the rows of a hot key
        spread over all partitions;
     3. ties on (key, order) are dropped where they already are, without another shuffle.

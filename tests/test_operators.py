@@ -16,6 +16,25 @@ def test_dedup_keeps_first_and_unique(spark):
     assert quality.dedup_first(df).count() == 2
 
 
+def test_dedup_order_holds_for_large_keys_and_ties(spark):
+    from datetime import datetime
+
+    from quadra.sources.listing_view import ORDER_COLS, order_key
+
+    day, big = datetime(1996, 1, 2), 20_000_000_000
+    rows = [("line", 1, big, 5, day, 9.0), ("line", 2, 1, 5, day, 1.0), ("part", 7, big, 1, day, 2.0), ("part", 7, big - 1, 1_000_000_000, day, 3.0),
+            ("supplier", 1, 3, 1 << 21, day, 4.0), ("supplier", 1, 4, 1, day, 5.0), ("tie", 1, 2, 3, day, 7.0), ("tie", 1, 2, 3, day, 6.0)]
+    rows = [(*r, 1.0, 0.0, 0.0, "N", "O") for r in rows]
+    df = spark.createDataFrame(rows, "id_imovel string, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_shipdate timestamp, l_extendedprice double,"
+                                     " l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string")
+    want = {}
+    for r in sorted(df.collect(), key=lambda r: tuple(r[c] for c in ORDER_COLS)):
+        want.setdefault(r.id_imovel, r.l_extendedprice)
+    for parts in (1, 4):
+        got = quality.dedup_first(df.repartition(parts).withColumn("src_order", order_key())).collect()
+        assert sorted((r.id_imovel, r.l_extendedprice) for r in got) == sorted(want.items()) == [("line", 9.0), ("part", 3.0), ("supplier", 4.0), ("tie", 6.0)]
+
+
 def test_trim_outliers_strict_and_guard(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "preco_m2 double")
     kept = quality.trim_outliers(df).agg(F.min("preco_m2"), F.max("preco_m2"), F.count("*")).first()
