@@ -5,8 +5,8 @@ packing decides depends on lengths alone, so it is decided on the histogram of l
 ``LENGTH`` numbers, whatever the input.  The plan is a list of fillings with multiplicities:
 
 * incumbent: best-fit decreasing on the histogram (all pieces of a length at once);
-* bin completion: the largest remaining length is completed by an undominated filling - maximal, and
-  with no item that a larger remaining item could replace within the same space - least waste first;
+* bin completion: the largest remaining length is completed by a maximal filling, over all counts of
+  each size within the limits of ``fillings``, least waste first;
   a branch is cut when its waste exceeds what a better solution could still waste;
 * it ends when the volume bound is met, or after ``NODES`` nodes with the better solution so far.
 
@@ -36,6 +36,7 @@ LENGTH = 2048
 END_ID = 0
 NODES = 400
 BRANCHES = 3
+EXTENSIONS = 60
 CACHE = 500_000
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -176,11 +177,16 @@ def best_fit(sizes: Counter, room: int) -> list[tuple[int, tuple]]:
 
 
 def fillings(sizes: list[int], have: Counter, room: int, most: int) -> list[tuple]:
-    """Undominated fillings of ``room``, least waste first: (size, count) pairs of remaining sizes, descending.
+    """Undominated fillings of ``room``, least waste first, larger pieces first: (size, count) pairs of remaining sizes, descending.
 
-    Every filling is maximal, and its smallest item is the largest one that fits where it stands.
+    Every filling is maximal.  Of each size all counts are tried, from the greatest down to none, but for those
+    after which all smaller pieces together leave room for one more.  Limits: ``most`` sizes at a place and
+    ``EXTENSIONS`` in all, of which no branch gets more than half of what is left; one branch is always completed.
     """
     found: dict[tuple, int] = {}
+    below = [0] * (len(sizes) + 1)  # volume of the sizes from a place on
+    for i in range(len(sizes) - 1, -1, -1):
+        below[i] = below[i + 1] + sizes[i] * have[sizes[i]]
 
     def largest(limit: int) -> int:
         lo, hi = 0, len(sizes)  # descending
@@ -194,30 +200,38 @@ def fillings(sizes: list[int], have: Counter, room: int, most: int) -> list[tupl
 
     def extend(at: int, left: int, filling: tuple, budget: int) -> int:
         at = max(at, largest(left))
-        taken = dict(filling)
         tried = 0
-        while at < len(sizes) and budget > 0 and tried < most:
+        while at < len(sizes) and (not tried or budget > 0) and tried < most:
             size = sizes[at]
-            n = min(have[size] - taken.get(size, 0), left // size)
+            n = min(have[size], left // size)
+            for count in range(n, 0, -1):
+                if count < n and (budget <= 0 or left - count * size - below[at + 1] >= size):
+                    break
+                share = (budget + 1) // 2
+                budget += extend(at + 1, left - count * size, (*filling, (size, count)), share - 1) - share
+                if filling == () and count == 1 and size == room:  # one piece that fits exactly dominates all others
+                    return 0
             if n > 0:
                 tried += 1
-                # an exact partner for the rest dominates everything smaller
-                budget = extend(at + 1, left - n * size, (*filling, (size, n)), budget - 1)
-                if found and min(found.values()) == 0:
-                    return 0
+                if left - below[at + 1] >= size:
+                    break
             at += 1
-        if not tried and filling:
-            found[filling] = left
-        elif not tried:
-            found[()] = left
+        if not tried:
+            taken = dict(filling)
+            if all(have[s] == taken.get(s, 0) for s in sizes[largest(left):]):
+                found[filling] = left
         return budget
 
-    extend(0, room, (), 60)
-    return [f for f, _ in sorted(found.items(), key=lambda x: (x[1], x[0]))]
+    extend(0, room, (), EXTENSIONS)
+    return [f for f, _ in sorted(found.items(), key=lambda x: (x[1], [(-s, -n) for s, n in x[0]]))]
 
 
 def complete(sizes: Counter, room: int, best: int, nodes: int = NODES, branches: int = BRANCHES) -> list[tuple[int, tuple]] | None:
-    """A plan of fewer than ``best`` bins by bin completion, or None if there is none or ``nodes`` are spent."""
+    """A plan of fewer than ``best`` bins by bin completion, or None if the search finds none.
+
+    The search is limited: ``branches`` fillings at a node, each repeated as often as the pieces allow, ``nodes``
+    nodes that branch, and the limits of :func:`fillings`.  None does not prove that there is none.
+    """
     total = sum(s * n for s, n in sizes.items())
     spent = 0
 

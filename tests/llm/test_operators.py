@@ -351,6 +351,22 @@ def test_bin_completion_finds_what_best_fit_misses():
     assert better > 20
 
 
+def test_bin_completion_takes_fewer_than_the_most_of_a_size():
+    from collections import Counter
+
+    assert packing.fillings([300, 200], Counter({300: 40, 200: 80}), 700, packing.BRANCHES) == [((300, 1), (200, 2)), ((300, 2),), ((200, 3),)]
+    for n in (40, 1000):
+        sizes = Counter({1348: n, 300: n, 200: 2 * n})
+        assert sum(b for b, _ in packing.best_fit(sizes, 2048)) > n
+        plan = packing.plan_bins(sizes, 2048)
+        got = Counter()
+        for bins, filling in plan:
+            assert sum(s * c for s, c in filling) <= 2048
+            for s, c in filling:
+                got[s] += bins * c
+        assert got == sizes and sum(b for b, _ in plan) == n
+
+
 def test_order_and_words(spark):
     df = spark.createDataFrame([(i % 50, i) for i in range(500)], "a int, b int").repartition(9)
     got = in_order(df, [F.col("a"), F.col("b")], "t").orderBy("_pos").collect()
