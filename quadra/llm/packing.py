@@ -78,8 +78,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.split, self.odd = regex.compile(SPLIT).findall, re.compile(ODD).search
+        # a text that holds an added token (``<|endoftext|>``) goes to the tokenizer whole, too
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split, self.odd = regex.compile(SPLIT).findall, re.compile("|".join([ODD, *added])).search
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from 256 on
         others = [b for b in range(256) if b not in plain]
         self.table = {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(others)}}

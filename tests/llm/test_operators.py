@@ -317,6 +317,19 @@ def test_encoder_equals_tokenizer(rows):
         assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_keeps_added_tokens():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.default_tokenizer())
+    encode = packing.Encoder(packing.default_tokenizer())
+    added = [x.content for x in t.get_added_tokens_decoder().values()]
+    assert added
+    for token in added:
+        for text in (token, f"a {token} b", f"a{token}b", f"{token}{token} it's", token[:-1], f" {token[1:]} x"):
+            assert np.frombuffer(encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        assert len(np.frombuffer(encode(token), "<u4")) == 1
+
+
 def test_bin_plans_hold_and_beat_or_meet_best_fit():
     from collections import Counter
 
