@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadra.llm import fingerprints, language_id, license_scan, line_dedup, mixing, ngram_join, packing, secrets, suffix_dedup, vector_search
+from quadra.llm import fingerprints, importance, language_id, license_scan, line_dedup, mixing, ngram_join, packing, secrets, suffix_dedup, vector_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,13 +74,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_language_id, op4_line_dedup, op5_fingerprints, op6_ngram_join, op7_mixing, op8_vector_search, op9_packing, op10_suffix_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_language_id, op4_line_dedup, op5_fingerprints, op6_ngram_join, op7_mixing, op8_vector_search, op9_packing, op10_suffix_dedup, op11_importance_resampling, pipeline)}
 
 _WORDS = r"list_filter(string_split(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda w: w <> '')"
 
@@ -125,4 +130,28 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE = {"op8_vector_search": OP8_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LETTERS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP11_SQL = f"""
+WITH t AS (SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+w AS MATERIALIZED (
+  SELECT 0 AS side, row_number() OVER () AS id, doc_id, {_LETTERS} AS w FROM documents
+  UNION ALL
+  SELECT 1, 0, item_id, {_LETTERS} FROM benchmark),
+o AS MATERIALIZED (SELECT side, id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM w),
+h AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM o)),
+c AS MATERIALIZED (SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS b FROM h, t),
+n AS (SELECT b, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM o JOIN c USING (f) GROUP BY b),
+g AS (SELECT b, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST((SELECT sum(s) FROM n) AS DOUBLE) + 10000) / ((CAST(s AS DOUBLE) + 1) * (CAST((SELECT sum(t) FROM n) AS DOUBLE) + 10000)))) AS BIGINT) AS g FROM n),
+m AS (SELECT id, count(*) AS n, CAST(floor(CAST(sum(g) AS DOUBLE) / count(*)) AS BIGINT) AS m FROM o JOIN c USING (f) JOIN g USING (b) WHERE side = 0 GROUP BY id),
+d AS (SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(m, 0) AS weight,
+             coalesce(m, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE)) / 4294967296))) AS BIGINT) AS score
+      FROM w LEFT JOIN m USING (id) WHERE side = 0),
+r AS (SELECT *, CASE WHEN words >= 20 THEN row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS FIRST, n_features, words) END AS r FROM d)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN r <= (SELECT count(*) * 25 // 100 FROM d WHERE words >= 20) THEN CAST(r AS BIGINT) END AS rank FROM r
+"""
+
+ORACLE = {"op8_vector_search": OP8_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op11_importance_resampling": OP11_SQL}
