@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadra.llm import fingerprints, importance, language_id, license_scan, line_dedup, mixing, ngram_join, packing, secrets, suffix_dedup, vector_search
+from quadra.llm import fingerprints, hyperminhash, importance, language_id, license_scan, line_dedup, mixing, ngram_join, packing, secrets, suffix_dedup, vector_search, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,29 +79,46 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("key").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 
+def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hyperminhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
+    return out.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), F.col("doc").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("key").alias("vec_id"), "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_language_id, op4_line_dedup, op5_fingerprints, op6_ngram_join, op7_mixing, op8_vector_search, op9_packing, op10_suffix_dedup, op11_importance_resampling, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_language_id, op4_line_dedup, op5_fingerprints, op6_ngram_join, op7_mixing, op8_vector_search, op9_packing, op10_suffix_dedup, op11_importance_resampling, op12_hyperminhash, op13_embedding_whitening, pipeline)}
 
 _WORDS = r"list_filter(string_split(translate(coalesce(text, ''), chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '), lambda w: w <> '')"
 
-OP6_SQL = f"""
+
+def _components_sql(k: int, more: str = "") -> str:
+    """Documents by the smallest one they reach over links of 85 % on ``k``-word shingles."""
+    return f"""
 WITH RECURSIVE w AS MATERIALIZED (
   SELECT doc_id, list_transform({_WORDS}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
-s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s FROM w),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i+{k - 1}], ' '))) END AS s FROM w),
 e AS MATERIALIZED (SELECT doc_id, md5(unnest(s)) AS x FROM s),
 c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
 k AS MATERIALIZED (SELECT c.a, c.b FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
 l AS MATERIALIZED (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
 r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.root) AS component_id FROM s JOIN r ON r.node = s.doc_id GROUP BY s.doc_id, s.s
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.root) AS component_id{more} FROM s JOIN r ON r.node = s.doc_id GROUP BY s.doc_id, s.s
 """
 
+
+OP6_SQL = _components_sql(4)
+OP12_SQL = _components_sql(3, ", s.doc_id = min(r.root) AS kept")
+
 OP7_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
@@ -154,4 +171,4 @@ r AS (SELECT *, CASE WHEN words >= 20 THEN row_number() OVER (PARTITION BY words
 SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN r <= (SELECT count(*) * 25 // 100 FROM d WHERE words >= 20) THEN CAST(r AS BIGINT) END AS rank FROM r
 """
 
-ORACLE = {"op8_vector_search": OP8_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op11_importance_resampling": OP11_SQL}
+ORACLE = {"op8_vector_search": OP8_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op11_importance_resampling": OP11_SQL, "op12_hyperminhash": OP12_SQL}
