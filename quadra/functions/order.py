@@ -12,7 +12,7 @@ BINS = 4096
 FEW = 2000
 
 
-def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+def ranked(df: DataFrame, order: list[Column], name: str = "rank", kind: str = "int") -> DataFrame:
     """``df`` with its position (from 1) in ``order``: a range sort, a count per range, and offsets.
 
     Only the counts, one per range, meet in one task.
@@ -22,7 +22,7 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select("_range", before.alias("_before"))
     inner = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return table.withColumn("_in", inner).join(counts, "_range").withColumn(name, (F.col("_before") + F.col("_in")).cast("int")).drop("_range", "_in", "_before")
+    return table.withColumn("_in", inner).join(counts, "_range").withColumn(name, (F.col("_before") + F.col("_in")).cast(kind)).drop("_range", "_in", "_before")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> tuple[list[float] | None, int]:

@@ -497,3 +497,9 @@ def q_binned_mi(spark, sf_dir):
     """M6: binned mutual information of each feature with the price."""
     out = ml.binned_mutual_information(gold(spark, sf_dir), SCREEN_FEATURES, "valor")
     return out.select("feature", F.bround("mi", 6).alias("mi"))
+
+
+# ----------------------------------------------------------------------------- further groups, each with its twins
+from quadra.plans import collect, learn  # noqa: E402
+
+QUERIES.update({**collect.QUERIES, **learn.QUERIES})

@@ -234,6 +234,51 @@ def text_exprs(dialect: str) -> list[tuple[str, str]]:
     ]
 
 
+def address_exprs(dialect: str) -> list[tuple[str, str]]:
+    """Collected rows whose map link, address, street or neighbourhood may be missing."""
+    cols, texts = dict(column_exprs(dialect)), dict(text_exprs(dialect))
+    number = "CAST((l_suppkey * 7 + l_partkey) % 900 + 1 AS STRING)"
+    return [
+        ("url", cols["url"]),
+        ("mapa_url", f"CASE WHEN l_partkey % 7 = 0 THEN 'https://maps.x/embed?z=15' ELSE {texts['mapa_url']} END"),
+        ("endereco_completo", f"CASE WHEN l_orderkey % 4 = 0 THEN '' ELSE ({cols['rua']}) || ', ' || {number} || ' - ' || ({cols['bairro']})"
+                              " || ', Rio de Janeiro - RJ' END"),
+        ("rua", f"CASE WHEN l_orderkey % 6 = 2 THEN 'Rua Não Informada' ELSE {cols['rua']} END"),
+        ("bairro", f"CASE WHEN l_partkey % 7 = 0 AND l_linenumber = 1 THEN '' WHEN l_partkey % 7 = 0 AND l_linenumber = 2 "
+                   f"THEN 'Loteamento ' || CAST(l_suppkey AS STRING) ELSE {cols['bairro']} END"),
+    ]
+
+
+def feed_exprs(dialect: str) -> list[tuple[str, str]]:
+    """Cards as collected: text, some without url, some with a price or an area that is no number."""
+    cols = dict(column_exprs(dialect))
+    quote = "`" if dialect == "spark" else '"'
+    return [
+        ("url", f"CASE WHEN l_partkey % 97 = 0 THEN '' ELSE {cols['url']} END"),
+        (f"{quote}valor_R${quote}", "CASE WHEN l_partkey % 23 = 0 THEN 'Sob consulta' ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) END"),
+        ("area_m2", "CASE WHEN l_suppkey % 29 = 0 THEN 'n/d' ELSE CAST(CAST(l_quantity * 5 AS BIGINT) AS STRING) END"),
+        ("origem_geo", cols["origem_geo"]),
+    ]
+
+
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load_tables(spark, sf_dir, "lineitem", "supplier", "nation")
+    nat = F.broadcast(t["nation"].select("n_nationkey", "n_name"))  # fixed 25 rows
+    return (t["lineitem"].join(t["supplier"].select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(nat, F.col("s_nationkey") == F.col("n_nationkey")))
+
+
+def view(spark: SparkSession, sf_dir: str, exprs: list[tuple[str, str]], with_order: bool = False) -> DataFrame:
+    """Rows of ``lineitem ⋈ supplier ⋈ nation`` as the given columns."""
+    order = [order_key().alias("src_order")] if with_order else []
+    return _joined(spark, sf_dir).select(*[F.expr(e).alias(n.strip("`")) for n, e in exprs], *order)
+
+
+def view_sql(exprs: list[tuple[str, str]], with_order: bool = False) -> str:
+    cols = ", ".join([f"{e} AS {n}" for n, e in exprs] + (ORDER_COLS if with_order else []))
+    return f"SELECT {cols} FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"
+
+
 def text_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listing rows plus the collected text fields the parsers read."""
     t = load_tables(spark, sf_dir, "lineitem", "supplier", "nation")
