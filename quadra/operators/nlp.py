@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadra import dims
+from quadra.functions.order import column_quantiles
 from quadra.functions.text import bool_to_int
 
 
@@ -47,12 +48,13 @@ def days_on_market(df: DataFrame, as_of: str, col: str = "anuncio_criado") -> Da
     return df.withColumn("status_temporal", status)
 
 
-def quintile_edges(df: DataFrame, cols: list[str], approx: bool = False) -> Column:
-    """One scalar subquery holding [0, .2, .4, .6, .8, 1] quantiles of each column."""
-    probs = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
-    aggs = [(F.percentile_approx(c, probs, 100_000) if approx else F.percentile(c, probs))
-            .cast("array<double>").alias(c) for c in cols]
-    return df.select(F.struct(*aggs)).scalar()
+QUINTILES = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
+
+
+def quintile_edges(df: DataFrame, cols: list[str]) -> dict[str, Column]:
+    """[0, .2, .4, .6, .8, 1] quantiles of each column of a stored table, as literals (nulls without values)."""
+    found = column_quantiles(df, cols, QUINTILES)
+    return {c: F.array(*[F.lit(x).cast("double") for x in (found[c][0] or [None] * len(QUINTILES))]) for c in cols}
 
 
 def quintile_label(c: str, edges: Column, labels: list[str], fallback: str = "Padrão") -> Column:
@@ -70,12 +72,13 @@ def quintile_label(c: str, edges: Column, labels: list[str], fallback: str = "Pa
     return F.when(dup, F.lit(fallback)).otherwise(lab)
 
 
-def segment_market(df: DataFrame, approx: bool = False) -> DataFrame:
-    df = df.withColumn("__edges", quintile_edges(df, ["valor", "area_m2"], approx))
+def segment_market(df: DataFrame, edges: dict[str, Column] | None = None) -> DataFrame:
+    """W2; ``edges`` as :func:`quintile_edges` gives them (of a table with the same rows)."""
+    edges = edges or quintile_edges(df, ["valor", "area_m2"])
     return df.withColumns({
-        "segmento_mercado": quintile_label("valor", F.col("__edges.valor"), dims.PRICE_SEGMENTS),
-        "perfil_tamanho": quintile_label("area_m2", F.col("__edges.area_m2"), dims.SIZE_SEGMENTS),
-    }).drop("__edges")
+        "segmento_mercado": quintile_label("valor", edges["valor"], dims.PRICE_SEGMENTS),
+        "perfil_tamanho": quintile_label("area_m2", edges["area_m2"], dims.SIZE_SEGMENTS),
+    })
 
 
 def comfort_index(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quadra import dims
+from quadra.functions.order import grouped_quantiles
 
 
 def street_stats(df: DataFrame, min_price_m2: float = 100.0) -> tuple[DataFrame, DataFrame]:
@@ -87,7 +88,6 @@ def deed_stats(deeds: DataFrame) -> DataFrame:
     stats = v.groupBy("bairro").agg(
         # exact mean (decimal sum, one division): no dependence on the order partial sums arrive in
         F.avg(F.col("media_valor_transacao").cast("decimal(38,4)")).cast("double").alias("escritura_valor_medio"),
-        F.median("media_valor_transacao").alias("escritura_valor_mediano"),
         F.coalesce(F.avg(F.when(F.col("preco_m2_escritura") > 0, F.col("preco_m2_escritura"))),
                    F.lit(0.0)).alias("escritura_preco_m2_medio"),
         F.count(count_col).alias("escritura_total_transacoes"),
@@ -96,6 +96,9 @@ def deed_stats(deeds: DataFrame) -> DataFrame:
         F.avg(F.when(recent, F.col("media_valor_transacao"))).alias("_recent"),
         F.avg(F.when(old, F.col("media_valor_transacao"))).alias("_old"),
     )
+    middle = grouped_quantiles(v, ["bairro"], "media_valor_transacao", [0.5])
+    middle = middle.select(F.col("bairro").alias("_bairro"), F.get("quantis", 0).alias("escritura_valor_mediano"))
+    stats = stats.join(middle, F.col("bairro").eqNullSafe(F.col("_bairro")), "left").drop("_bairro")
     trend = F.bround((F.col("_recent") - F.col("_old")) / F.col("_old") * 100, 1)
     r2 = {c: F.bround(c, 2) for c in ("escritura_valor_medio", "escritura_valor_mediano",
                                       "escritura_preco_m2_medio")}

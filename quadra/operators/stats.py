@@ -1,13 +1,15 @@
 """Descriptive statistics (A9-A23): grouped means, five-number summaries, correlation, histogram.
 
-All are single-pass aggregates (partial aggregation map-side); quantiles use
-exact ``percentile`` (bounded by distinct values) unless ``approx``.
+All are single-pass aggregates (partial aggregation map-side); quantiles are
+found by counting in bins, all columns and ranks together.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quadra.functions.order import column_quantiles
+
 
 def group_means(df: DataFrame, by: str, value: str = "valor", area: str = "area_m2") -> DataFrame:
     """Mean, sample std-dev and Σvalue/Σarea per group."""
@@ -16,21 +18,23 @@ def group_means(df: DataFrame, by: str, value: str = "valor", area: str = "area_
         F.try_divide(F.sum(value), F.sum(area)).alias("valor_m2"))
 
 
-def summary(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
+def summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, nulls, mean, std, min, quartiles, p90, max, IQR whiskers per column."""
-    probs = [0.25, 0.5, 0.75, 0.9]
+    quantiles = column_quantiles(df, cols, [0.25, 0.5, 0.75, 0.9])
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = F.percentile_approx(x, probs, 100_000) if approx else F.percentile(x, probs)
         aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNull()).alias(f"z{i}"), F.avg(x).alias(f"a{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 q.cast("array<double>").alias(f"q{i}")]
+                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
+
+    def q(c: str, j: int):
+        return F.lit(quantiles[c][0][j] if quantiles[c][0] else None).cast("double")
+
     rows = [F.struct(F.lit(c).alias("coluna"), F.col(f"n{i}").alias("n"), F.col(f"z{i}").alias("nulos"),
                      F.col(f"a{i}").alias("media"), F.col(f"s{i}").alias("desvio"), F.col(f"lo{i}").alias("minimo"),
-                     F.get(f"q{i}", 0).alias("q25"), F.get(f"q{i}", 1).alias("mediana"), F.get(f"q{i}", 2).alias("q75"),
-                     F.get(f"q{i}", 3).alias("p90"), F.col(f"hi{i}").alias("maximo")) for i, c in enumerate(cols)]
+                     q(c, 0).alias("q25"), q(c, 1).alias("mediana"), q(c, 2).alias("q75"),
+                     q(c, 3).alias("p90"), F.col(f"hi{i}").alias("maximo")) for i, c in enumerate(cols)]
     long = wide.select(F.inline(F.array(*rows)))
     iqr = F.col("q75") - F.col("q25")
     return long.withColumns({"bigode_inf": F.col("q25") - 1.5 * iqr, "bigode_sup": F.col("q75") + 1.5 * iqr})

@@ -29,11 +29,12 @@ def silver(raw: DataFrame, path: str | None = None) -> DataFrame:
 
 def enrich(df: DataFrame, as_of: str = AS_OF, categories=None, checkpoint: bool = True) -> DataFrame:
     """Phases 3-12 on a silver table."""
+    edges = nlp.quintile_edges(df, ["valor", "area_m2"])
     mid = (df.transform(price.reference_price)
              .transform(lambda d: geo.enrich_geo(d, categories))
              .transform(finance.finance)
              .transform(price.street_supply)
-             .transform(lambda d: nlp.segment_market(d))
+             .transform(lambda d: nlp.segment_market(d, edges))
              .transform(lambda d: nlp.days_on_market(d, as_of))
              .transform(nlp.extract_tags)
              .transform(nlp.urgency)
