@@ -152,6 +152,24 @@ def parse_listing_text(df: DataFrame, as_of: str) -> DataFrame:
     return df.withColumns(out)
 
 
-def coordinates_text(c) -> tuple[Column, Column]:
-    """X11 re-export."""
-    return split_coordinates(c)
+# FIXED VALUES: what an early card holds where a field is missing
+EARLY_DEFAULTS = {"valor": 0, "quartos": 1, "garagem": 0, "banheiro": 1, "area": 30, "iptu": 0, "condominio": 0}
+EARLY_TEXTS = {"descricao": "Vazio", "novidade": "Nenhuma"}
+NO_PLACE = "Não disponivel"
+
+
+def comma_parts(c) -> tuple[Column, Column]:
+    """The first two comma parts of an address, without blanks around; without two parts both are the placeholder."""
+    parts = F.split(F.coalesce(_c(c), F.lit("")), ",")
+    two = F.size(parts) >= 2
+    return tuple(F.when(two, F.trim(F.get(parts, i))).otherwise(F.lit(NO_PLACE)) for i in (0, 1))
+
+
+def early_card(df: DataFrame) -> DataFrame:
+    """X26 + X27 + X29: a card of the early datasets (texts, null where missing) with numbers, place and defaults."""
+    numbers = {c: extract_number(c, default) for c, default in EARLY_DEFAULTS.items()}
+    described = trim_ws(F.regexp_replace(F.replace(F.col("descricao"), F.lit("-"), F.lit(" ")), "\\s+", " "))
+    local, district = comma_parts("endereco")
+    out = df.withColumns({**numbers, "descricao": F.coalesce(described, F.lit(EARLY_TEXTS["descricao"])), "novidade": F.coalesce("novidade", F.lit(EARLY_TEXTS["novidade"])),
+                          "local": local, "bairro/cidade": district})
+    return out.withColumnRenamed("area", "area(m2)").drop("endereco")

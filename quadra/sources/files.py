@@ -159,14 +159,14 @@ def read_bi(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     return raw.withColumns(conv)
 
 
-LEGACY_HOUSES = T.StructType([T.StructField(c, T.StringType()) for c in [
-    "valor", "descricao", "local", "bairro/cidade", "quartos", "garagem", "banheiro", "area(m2)", "iptu",
-    "condominio", "novidade", "suite", "acabamento"]])
+# FIXED VALUES: columns of the early datasets, in order
+EARLY_SCHEMA = T.StructType([T.StructField(c, T.StringType() if c in ("descricao", "local", "bairro/cidade", "novidade") else T.LongType()) for c in [
+    "valor", "descricao", "local", "bairro/cidade", "quartos", "garagem", "banheiro", "area(m2)", "iptu", "condominio", "novidade"]])
 
 
-def read_legacy(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """Early datasets (``;``); names with ``(``, ``/`` are kept and quoted with back-ticks."""
-    return spark.read.option("header", True).option("sep", sep).csv(path)
+def read_early(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """An early dataset (``;``) by its schema; names with ``(`` and ``/`` are kept and quoted with back-ticks."""
+    return spark.read.schema(EARLY_SCHEMA).option("header", True).option("sep", sep).csv(path)
 
 
 def read_fairs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

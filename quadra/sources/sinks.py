@@ -34,6 +34,14 @@ def write_parts(df: DataFrame, path: str | None = None, sep: str = ";") -> str:
     return out
 
 
+def write_early(df: DataFrame, path: str | None = None, sep: str = ";") -> str:
+    """An early dataset, its columns in their fixed order."""
+    from quadra.sources.files import EARLY_SCHEMA
+    out = path or scratch(df, "early")
+    df.select(*[F.col(f"`{c}`") for c in EARLY_SCHEMA.names]).write.mode("overwrite").option("header", True).option("sep", sep).csv(out)
+    return out
+
+
 def write_metrics(df: DataFrame, path: str | None = None) -> str:
     """Report / metrics table as JSON lines."""
     out = path or scratch(df, "metrics")
