@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quadra import dims
+from quadra.functions.order import ranked
 from quadra.functions.text import bool_to_int, to_double0
 
 MONEY_COLS = ["condominio_R$", "iptu_R$", "valor_R$", "area_m2", "custo_fixo_mensal", "entrada_minima",
@@ -133,3 +134,40 @@ def opportunity_level(delta: str = "delta_pct") -> Column:
     """Q11 level ladder."""
     d = F.col(delta)
     return F.when(d < -40, "🔥🔥🔥 EXCEPCIONAL").when(d < -25, "🔥🔥 FORTE").otherwise("🔥 MODERADA")
+
+
+# FIXED VALUES: what to look at when a field fails, by a part of its name (first match), then by kind
+ADVICE = [
+    (("condominio", "iptu"), "verificar a taxa e o imposto na página de detalhes (valor em um parágrafo, com espaço não separável)"),
+    (("coordenadas",), "verificar o mapa da página de detalhes (latitude e longitude separadas por %2C)"),
+    (("publicacao", "dias_"), "verificar o texto de publicação, que pode estar oculto na página"),
+]
+ADVICE_CONSTANT = "campo calculado com valor fixo: verificar os campos de entrada (condomínio, IPTU, coordenadas)"
+
+
+def recommendations(rules: DataFrame) -> DataFrame:
+    """Q9: what to do about every failed rule, in the order of the rules; none if none failed."""
+    field = F.col("campo")
+    text = F.when(F.lit(False), "")
+    for parts, advice in ADVICE:
+        hit = F.lit(False)
+        for p in parts:
+            hit |= field.contains(p)
+        text = text.when(hit, advice)
+    text = text.when(F.col("tipo") == "var", ADVICE_CONSTANT).otherwise(
+        F.concat(F.lit("cobertura "), F.col("pct").cast("string"), F.lit("% (mínimo esperado: "), F.col("min_pct").cast("string"), F.lit("%): verificar o seletor")))
+    return rules.where(F.col("status") == FAIL).select("ord", "campo", text.alias("recomendacao"))
+
+
+#: A payback of so many years or more means "never" and is not shown.
+NO_PAYBACK = 900
+
+
+def opportunity_report(df: DataFrame, delta: str = "diferenca_percentual") -> DataFrame:
+    """Q11: the report's line of every opportunity (below -15 %), ranked: level, costs only where there are any, payback only where it comes."""
+    some = lambda c: F.when(F.col(c) > 0, F.bround(c, 0))
+    lines = df.where(F.col(delta) < -15).select(
+        "id_imovel", "bairro", "zona", "valor", F.col(delta).alias("delta_pct"), opportunity_level(delta).alias("nivel"), "tipo_imovel", "area_m2", "quartos", "vagas",
+        some("condominio").alias("condominio"), some("iptu").alias("iptu"), F.when(F.col("anos_payback") < NO_PAYBACK, F.bround("anos_payback", 0)).alias("payback_anos"),
+        "score_conforto", "perfil_familia", "perfil_investidor", "perfil_primeiro_imovel")
+    return ranked(lines, [F.col("delta_pct"), F.col("id_imovel")])

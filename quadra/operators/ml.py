@@ -266,6 +266,14 @@ def pca_summary(df: DataFrame, features: list[str]) -> DataFrame:
                                                                        "n_80", "n_90", "n_95"]))
 
 
+def first_loadings(df: DataFrame, features: list[str], top: int = 10) -> DataFrame:
+    """M5: the ``top`` features by absolute loading on the first principal component of the standardised features."""
+    prep = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)]).fit(df)
+    weights = PCA(k=1, inputCol="features", outputCol="pcs").fit(prep.transform(df)).pc.toArray()[:, 0]
+    order = sorted(range(len(features)), key=lambda i: (-abs(weights[i]), features[i]))[:top]
+    return df.sparkSession.createDataFrame([(r + 1, features[i], round(float(abs(weights[i])), 4)) for r, i in enumerate(order)], "posicao int, feature string, peso double")
+
+
 def collinearity(df: DataFrame, features: list[str], threshold: float = 0.95) -> DataFrame:
     """M4: Pearson r of every feature pair in one pass; the later column of a |r| > threshold pair is dropped."""
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]

@@ -1,7 +1,8 @@
 """Registered queries: one per operator group of the survey (§7.3 keys).
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole driver tables; the matching DuckDB text lives in ``quadra.plans.oracle``.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+driver tables.  Some start jobs when called: tables that several steps read are
+stored first, and bounds or models are found before they are used.  The matching DuckDB text lives in ``quadra.plans.oracle``.
 Output columns are aliased and rounded identically on both sides.
 """
 from __future__ import annotations
@@ -500,6 +501,6 @@ def q_binned_mi(spark, sf_dir):
 
 
 # ----------------------------------------------------------------------------- further groups, each with its twins
-from quadra.plans import collect, learn  # noqa: E402
+from quadra.plans import collect, learn, reports  # noqa: E402
 
-QUERIES.update({**collect.QUERIES, **learn.QUERIES})
+QUERIES.update({**collect.QUERIES, **learn.QUERIES, **reports.QUERIES})
