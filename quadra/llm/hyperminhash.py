@@ -12,11 +12,17 @@ a register with a probability of at least ``percent`` / 100, so at 80 % a band w
 missed with less than 6e-7 and 2e-10 for large sets on the very threshold.  Sets of up to about 200 shingles cannot be
 missed as long as they fill more bands than they have differing shingles: each differing shingle spoils one band.
 
+**Bound.**  Shingles that no other node with a shared key has cannot be common to a pair.  One count of shingles over
+these nodes (a share of them, chosen by hash, for sets of more than ``COUNTED``) tells how many of a node's shingles are
+its own; a node with too many of them links with nobody and goes.  Documents that share just a passage end here.
+
 **Groups, not pairs.**  The node whose keys are the most common leads a key; every node is compared with the leads of
 its keys, and what links is a component.  A group of thousands of near copies costs one comparison a member and key.
-Only then nodes outside their lead's component (the minority) meet the rest of the key's nodes, in other components.
-In keys of more than ``SMALL`` nodes a bound comes first: shingles that no other node of such keys has cannot be
-shared, so a set with too few shared ones meets nobody, or only sets small enough.
+Only then nodes outside their lead's component (the minority) meet the rest of the key's nodes, in other components,
+as far as sizes and the bound allow.  In keys of more than ``SMALL`` nodes the bound is closer: a pair either shares a
+shingle that ``FEW`` nodes of such keys have at most, and is found by it, or what it shares are common shingles alone,
+and a node with too few of those meets nobody.  A last bound sits in the join itself: two sets differ in at least as many
+shingles as their parity bits (``PARITY`` of them) differ.
 
 **Estimate.**  A pair's registers give ``(matches - expected accidental matches) / used`` (registers agree by accident
 with a probability that the set sizes fix).  Pairs are dropped that lie eight deviations below the threshold, or that
@@ -44,10 +50,13 @@ from quadra.llm.shared import MULT, distinct_by_row, if_small, mix, runs, shingl
 BANDS, WIDTH = 48, 6
 REGISTERS = BANDS * WIDTH
 MANTISSA = 10
+PARITY = 512
 EMPTY = np.uint16(0xFFFF)
 CHUNK, CHUNK_ROWS = 1 << 20, 1 << 12
-#: Keys of at most so many nodes compare their minority with all others at once.
-SMALL = 32
+#: Sets of at most so many shingles are counted whole, larger ones by a sample of between half and all of this number.
+COUNTED = 256
+#: Keys of at most so many nodes compare their minority with all others at once; in larger ones shingles of at most FEW nodes are told apart.
+SMALL, FEW = 32, 8
 #: Up to so many nodes, a node table of 24 bytes a row is broadcast to the texts.
 BROADCAST_NODES = 200_000
 _SALTS = np.random.default_rng(1207).integers(1, 2**64 - 1, BANDS + 2, dtype=np.uint64)
@@ -112,7 +121,7 @@ def _row(docs: DataFrame, text: str, key: str) -> list[Column]:
 
 
 def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5) -> DataFrame:
-    """(doc, rid, n, h0, h1, sketch) of every row: set size, 128-bit identity of the set, registers."""
+    """(doc, rid, n, h0, h1, sketch, parity) of every row: set size, 128-bit identity of the set, registers, parity bits."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,13 +139,17 @@ def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
                             ids[0, full] = np.add.reduceat(mix(h ^ _SALTS[0]), row[:-1][full])
                             ids[1, full] = np.add.reduceat(mix(h ^ _SALTS[1]), row[:-1][full])
                     sketch = registers(h, owner, hi - lo)
+                    bit = (mix(h ^ _SALTS[2]) % np.uint64(PARITY)).astype(np.int64)
+                    odd = np.bincount(owner * PARITY + bit, minlength=(hi - lo) * PARITY).astype(np.uint8) & 1
+                    parity = np.packbits(odd.reshape(hi - lo, PARITY), axis=1).view(np.int64)
                     width = REGISTERS * sketch.itemsize
                     held = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((np.arange(hi - lo + 1) * width).astype(np.int32)), pa.py_buffer(sketch.tobytes())])
-                    yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(n.astype(np.int32)), pa.array(ids[0].view(np.int64)), pa.array(ids[1].view(np.int64)), held],
-                                                     ["doc", "rid", "n", "h0", "h1", "sketch"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(n.astype(np.int32)), pa.array(ids[0].view(np.int64)), pa.array(ids[1].view(np.int64)), held,
+                                                      pa.ListArray.from_arrays(pa.array((np.arange(hi - lo + 1) * (PARITY // 64)).astype(np.int32)), pa.array(parity.ravel()))],
+                                                     ["doc", "rid", "n", "h0", "h1", "sketch", "parity"])
 
     rows = docs.select(*_row(docs, text, key))
-    return stored(rows.mapInArrow(sign, "doc bigint, rid bigint, n int, h0 bigint, h1 bigint, sketch binary"), "sketches")
+    return stored(rows.mapInArrow(sign, "doc bigint, rid bigint, n int, h0 bigint, h1 bigint, sketch binary, parity array<bigint>"), "sketches")
 
 
 # ---------------------------------------------------------------- candidates
@@ -154,16 +167,57 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column(0).take(pa.array(row))], ["key", "node"])
 
 
-def _shared_keys(heads: DataFrame) -> DataFrame:
-    """(key, node, c): the bands of nodes that c nodes (two or more) have, with the key's lead."""
+def _bands(heads: DataFrame) -> DataFrame:
+    """(key, node): the bands that two nodes or more have."""
     keyed = heads.select("node", "sketch").mapInArrow(_keys, "key bigint, node bigint")
-    common = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    met = stored(keyed.join(common, "key"), "bands")
+    common = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    return stored(keyed.join(common, "key"), "bands")
+
+
+def _led(bands: DataFrame) -> DataFrame:
+    """(key, node, c, lead): bands of c nodes (two or more), each with the node whose bands are the most common."""
+    common = bands.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    met = stored(bands.join(common, "key"), "met")
     weight = met.groupBy("node").agg(F.sum(F.log2("c")).alias("w"))
     lead = met.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node")).alias("m")).select("key", F.col("m.node").alias("lead"))
     return stored(met.join(lead, "key"), "keys")
 
 
+def halvings(n: np.ndarray) -> np.ndarray:
+    """How often the share of counted shingles is halved for sets of n: the least j with COUNTED * 2**j >= n."""
+    return np.maximum(np.frexp(np.maximum(n - 1, 0).astype(float))[1] - (COUNTED.bit_length() - 1), 0).astype(np.uint64)
+
+
+def _able(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, s): the nodes of ``texts`` (node, n, t) that may link with another one; at most s of a node's shingles are shared.
+
+    A partner can be larger by ``100 / percent`` and so be sampled more thinly: a node spells out its own share but
+    counts only what its largest partner spells out too.  Up to ``COUNTED`` shingles the count is exact; a sampled one drops
+    a node only eight deviations beyond what a link allows.
+    """
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = text_bytes(batch.column(2))
+            size = batch.column(1).to_numpy().astype(np.int64)
+            for lo, hi in runs(at, CHUNK):
+                h, row = distinct_by_row(*shingles(data, at[lo:hi + 1], k))
+                owner = np.repeat(np.arange(hi - lo), np.diff(row))
+                n = size[lo:hi][owner]
+                top = mix(h ^ _SALTS[1]) >> np.uint64(1)  # 63 bits
+                some = top >> (np.uint64(63) - halvings(n)) == 0
+                counted = top >> (np.uint64(63) - halvings(n * 100 // percent + 1)) == 0
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi].take(pa.array(owner[some])), pa.array(h[some].view(np.int64)), pa.array(counted[some].astype(np.int8))], ["node", "tok", "counted"])
+
+    tokens = texts.select("node", "n", "t").mapInArrow(spell, "node bigint, tok bigint, counted tinyint")
+    alone = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node"), F.max("counted").alias("counted")).where("c = 1 and counted = 1")
+    own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    rate = F.pow(F.lit(0.5), F.greatest(F.length(F.bin(F.expr(f"n * 100 div {percent}"))) - (COUNTED.bit_length() - 1), F.lit(0)))
+    left = (100 - percent) / 100 * F.col("n") * rate
+    out = texts.select("node", "n").join(own, "node", "left").na.fill(0, ["own"])
+    s = F.when(rate == 1, F.col("n") - F.col("own")).when(F.col("own") <= left + 8 * F.sqrt(left), F.col("n")).otherwise(0)
+    return stored(out.withColumn("s", s.cast("int")).where(f"100 * s >= {percent} * n").select("node", "s"), "able")
+
+
 def _confirmed(pairs: DataFrame, heads: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets link."""
     side = lambda x: heads.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
@@ -208,54 +262,76 @@ def distinct_pairs(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
     return h[keep], owner[keep]
 
 
-def _shared_shingles(texts: DataFrame, members: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, s): of the nodes in ``wanted``, how many shingles another node in ``members`` has too."""
+def _spelled(texts: DataFrame, k: int) -> DataFrame:
+    """(tok, node): the distinct shingles of every node."""
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = text_bytes(batch.column(1))
             for lo, hi in runs(at, CHUNK):
                 h, row = distinct_by_row(*shingles(data, at[lo:hi + 1], k))
                 of = batch.column(0)[lo:hi].take(pa.array(np.repeat(np.arange(hi - lo), np.diff(row))))
-                yield pa.RecordBatch.from_arrays([of, pa.array(h.view(np.int64))], ["node", "tok"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), of], ["tok", "node"])
 
-    tokens = texts.join(members, "node", "left_semi").select("node", "t").mapInArrow(spell, "node bigint, tok bigint")
-    known = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tok")
-    return tokens.join(wanted, "node", "left_semi").join(known, "tok", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("s"))
+    return texts.select("node", "t").mapInArrow(spell, "tok bigint, node bigint")
 
 
 def _between(keys: DataFrame, root: DataFrame, heads: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b): nodes of different components that share a key whose lead settled neither, as far as bounds allow a link."""
-    named = keys.join(root, "node", "left").withColumn("comp", F.coalesce("root", "node")).select("key", "node", "lead", "c", "comp").join(heads.select("node", "n"), "node")
+    named = keys.join(root, "node", "left").withColumn("comp", F.coalesce("root", "node")).select("key", "node", "lead", "c", "comp").join(heads.select("node", "n", "s", "parity"), "node")
     named = stored(named, "named")
     main = named.where("node = lead").select("key", F.col("comp").alias("main"))
     minority = stored(named.join(main, "key").where("comp <> main").drop("lead", "main"), "minority")
     rest = named.join(minority.select("key").distinct(), "key", "left_semi").join(main, "key").withColumn("inside", F.col("comp") == F.col("main"))
+    rest = stored(rest.select("key", "node", "n", "s", "parity", "c", "comp", "inside"), "rest")
     large = f"c > {SMALL}"
-    s = _shared_shingles(texts, rest.where(large).select("node").distinct(), minority.where(large).select("node").distinct(), k)
-    asking = minority.where(~F.expr(large)).withColumn("s", F.col("n")).select("key", "node", "n", "comp", "s").unionByName(
-        minority.where(large).join(s, "node", "left").withColumn("s", F.coalesce("s", F.lit(0)).cast("int")).where(f"100 * s >= {percent} * n").select("key", "node", "n", "comp", "s"))
-    x, y = stored(asking, "asking").alias("x"), rest.select("key", "node", "n", "comp", "inside").alias("y")
-    able = F.expr(f"x.comp <> y.comp and (y.inside or x.node < y.node) and 100 * x.n >= {percent} * y.n and 100 * y.n >= {percent} * x.n"
-                  f" and {100 + percent} * x.s >= {percent} * (x.n + y.n)")
-    return x.join(y, (F.col("x.key") == F.col("y.key")) & able).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+    # shingles in the large keys: of one node alone, of few, of many
+    tokens = stored(_spelled(texts.join(rest.where(large).select("node").distinct(), "node", "left_semi"), k), "shingles")
+    count = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node"))
+    own = count.where("c = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    wanted = minority.where(large).select("node", "n", "s", "comp").distinct()
+    few = stored(tokens.join(wanted.select("node"), "node", "left_semi").join(count.where(f"c between 2 and {FEW}").select("tok"), "tok"), "few")
+    many = wanted.join(own, "node", "left").join(few.groupBy("node").agg(F.count(F.lit(1)).alias("few")), "node", "left").na.fill(0, ["own", "few"])
+    many = stored(many.select("node", "n", "s", "comp", (F.col("n") - F.col("own") - F.col("few")).cast("int").alias("m")), "many")
+    fits = f"100 * x.n >= {percent} * y.n and 100 * y.n >= {percent} * x.n"
+    pair = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
+
+    # by a shingle of few nodes: all they share of those, and all common ones, bound the overlap
+    others = tokens.join(few.select("tok").distinct(), "tok", "left_semi").join(rest.where(large).select("node", "n", "s", "comp").distinct(), "node")
+    shared = few.join(many, "node").alias("x").join(others.alias("y"), (F.col("x.tok") == F.col("y.tok")) & F.expr(f"x.comp <> y.comp and {fits}"))
+    by_few = shared.groupBy(*pair, F.col("x.m").alias("m"), (F.col("x.n") + F.col("y.n")).alias("both")).agg(F.count(F.lit(1)).alias("g")).where(f"{100 + percent} * (m + g) >= {percent} * both")
+
+    # by a key: the others share common shingles alone
+    asking = minority.where(~F.expr(large)).select("key", "node", "n", "s", "parity", "comp").unionByName(
+        minority.where(large).drop("s").join(many.select("node", F.col("m").alias("s")), "node").where(f"100 * s >= {percent} * n").select("key", "node", "n", "s", "parity", "comp"))
+    apart = " + ".join(f"bit_count(x.parity[{i}] ^ y.parity[{i}])" for i in range(PARITY // 64))
+    able = F.expr(f"x.comp <> y.comp and (y.inside or x.node < y.node) and {fits} and {100 + percent} * least(x.s, y.s) >= {percent} * (x.n + y.n)"
+                  f" and {100 + percent} * ({apart}) <= {100 - percent} * (x.n + y.n)")
+    by_key = asking.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & able).select(*pair)
+    return by_few.select("a", "b").unionByName(by_key).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
     """(doc, n_shingles, component): a row per row of ``docs``; ``component`` is the smallest key reachable by links."""
     signed = signatures(docs, text, key, k)
     some = signed.where("n > 0")
-    heads = some.groupBy("h0", "h1", "n").agg(F.min(F.struct("doc", "rid", "sketch")).alias("x"))
+    heads = some.groupBy("h0", "h1", "n").agg(F.min(F.struct("doc", "rid", "sketch", "parity")).alias("x"))
     heads = stored(heads.select("h0", "h1", "n", "x.*", F.monotonically_increasing_id().alias("node")), "heads")
-    keys = _shared_keys(heads)
+    bands = _bands(heads)
 
-    met = heads.join(keys.select("node").distinct(), "node", "left_semi").select("node", F.col("doc").alias("_doc"), F.col("rid").alias("_rid"))
+    met = heads.join(bands.select("node").distinct(), "node", "left_semi").select("node", "n", F.col("doc").alias("_doc"), F.col("rid").alias("_rid"))
     rows = docs.select(*_row(docs, text, key))
-    texts = rows.join(if_small(met, BROADCAST_NODES), F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("rid") == F.col("_rid")))
-    texts = stored(texts.select("node", "t").dropDuplicates(["node"]), "texts")
-
-    star = _confirmed(keys.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), heads, texts, k, percent)
+    texts = stored(rows.join(if_small(met, BROADCAST_NODES), F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("rid") == F.col("_rid"))).select("node", "n", "t"), "texts")
+    if texts.count() > met.count():  # rows that repeat with key and text: one of each is enough
+        texts = stored(texts.dropDuplicates(["node"]), "texts")
+    able = _able(texts, k, percent)
+    alive = stored(heads.select("node", "n", "sketch", "parity").join(able, "node"), "alive")
+    texts = texts.join(able.select("node"), "node", "left_semi")
+    keys = _led(bands.join(able.select("node"), "node", "left_semi"))
+
+    star = _confirmed(keys.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), alive, texts, k, percent)
     root = stored(components(star), "roots")
-    link = _confirmed(_between(keys, root, heads, texts, k, percent), heads, texts, k, percent)
+    link = _confirmed(_between(keys, root, alive, texts, k, percent), alive, texts, k, percent)
     # what the second links join are components of the first
     for end in ("a", "b"):
         link = link.join(root.select(F.col("node").alias(end), F.col("root").alias(f"_{end}")), end, "left").withColumn(end, F.coalesce(f"_{end}", end)).drop(f"_{end}")

@@ -140,9 +140,10 @@ def _same(got, rows, k, percent):
     assert sorted((-1 if r.doc is None else r.doc, r.n_shingles, -1 if r.component is None else r.component) for r in got) == sorted(want)
 
 
-@pytest.mark.parametrize(("k", "percent", "small"), [(3, 85, 32), (3, 85, 1), (5, 80, 32), (5, 80, 2), (1, 60, 4)])
-def test_near_duplicates_match_all_pairs(docs, rows, monkeypatch, k, percent, small):
+@pytest.mark.parametrize(("k", "percent", "small", "few"), [(3, 85, 32, 8), (3, 85, 1, 2), (5, 80, 3, 4), (1, 60, 32, 8), (1, 70, 1, 3)])
+def test_near_duplicates_match_all_pairs(docs, rows, monkeypatch, k, percent, small, few):
     monkeypatch.setattr(hyperminhash, "SMALL", small)
+    monkeypatch.setattr(hyperminhash, "FEW", few)
     _same(hyperminhash.near_duplicates(docs, k=k, percent=percent).collect(), rows, k, percent)
 
 
