@@ -150,8 +150,3 @@ def to_double0(c) -> Column:
 def to_int0(c, kind: str = "int") -> Column:
     """As :func:`to_double0`, then truncated; beyond the type's range 0."""
     return F.coalesce(to_double0(c).try_cast(kind), F.lit(0).cast(kind))
-
-
-def regex_flag(c, pattern: str) -> Column:
-    """``lower(text)`` contains ``pattern`` -> 0/1 (find semantics, NULL -> 'nan')."""
-    return F.lower(F.coalesce(_c(c), F.lit("nan"))).rlike(pattern).cast("int")

@@ -19,17 +19,6 @@ def category_points(categories=None, category: str = "") -> list[tuple[int, str,
     return [(i, n, la, lo) for i, (n, la, lo) in enumerate(cats.get(category, []))]
 
 
-def poi_categories_from(poi: DataFrame, max_points: int = 10_000) -> dict:
-    """Collect a POI DataFrame (e.g. with fairs) after checking its size bound."""
-    n = poi.count()
-    if n > max_points:
-        raise ValueError(f"POI dimension has {n} rows > {max_points}: too large to inline")
-    out: dict[str, list] = {}
-    for row in poi.orderBy("category", "ord").collect():
-        out.setdefault(row["category"], []).append((row["name"], row["lat"], row["lon"]))
-    return out
-
-
 def nearest_pois(df: DataFrame, categories=None, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """G2 + J8 + J10: ``dist_*_km`` / ``*_prox`` per category and the transport merge."""
     la, lo = F.col(lat), F.col(lon)

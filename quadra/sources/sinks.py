@@ -1,4 +1,4 @@
-"""Sinks: BI CSV with decimal comma (S8), listing parts (S9/S10), metrics JSON (S16), models.
+"""Sinks: BI CSV with decimal comma (S8), listing parts (S9/S10), early datasets (S10), metrics JSON.
 
 Output folders live under the cluster's shared ``spark.checkpoint.dir`` unless a path is given.
 """
@@ -47,8 +47,3 @@ def write_metrics(df: DataFrame, path: str | None = None) -> str:
     out = path or scratch(df, "metrics")
     df.write.mode("overwrite").json(out)
     return out
-
-
-def save_model(model, path: str) -> None:
-    """Fitted ``PipelineModel`` to durable storage."""
-    model.write().overwrite().save(path)
