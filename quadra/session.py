@@ -13,6 +13,8 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     # wide listing rows (~150 columns) must stay inside whole-stage codegen
     "spark.sql.codegen.maxFields": "1000",
+    # the JVM never compiles methods of over 8,000 bytes: such stages run as separate operators, which it does compile
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
