@@ -1,4 +1,4 @@
-"""Document fingerprints by consistent weighted sampling (native: no Python on the executors).
+"""Document fingerprints by consistent weighted sampling.
 
 A document is a weighted set: its words (stretches between white space, as written) with their counts.
 Each term draws, from its hash, a gamma(2,1) rate ``r``, a gamma(2,1) scale ``c`` and a uniform shift
@@ -7,14 +7,13 @@ Each term draws, from its hash, a gamma(2,1) rate ``r``, a gamma(2,1) scale ``c`
     t = floor(ln s / r + b),   ln a = ln c - r (t - b + 1)
 
 and the least ``a`` wins; the sample is (term, t).  Two weighted sets have the same sample with the
-probability of their generalised Jaccard similarity, sum of minima over sum of maxima.  Here each term
-competes in one of ``BINS`` bins chosen by its hash, so a fingerprint costs one draw per term instead
-of one per term and sample; the likeness of two fingerprints is the share of equal samples among the
-bins that either one fills.  (Bins weigh alike, so a word that makes up much of a text counts a
-little less than its share; README has measured errors.)
+probability of their generalised Jaccard similarity, sum of minima over sum of maxima.  Every term
+competes in each of ``SAMPLES`` independent samples, so a word that makes up much of a text counts for
+its whole share; the likeness of two fingerprints is the share of equal samples.
 
 The gamma draws are quantiles of a table of 4,096 steps each, taken by three disjoint stretches of
-the hash.  Everything of a text is computed in its own row; nothing of it moves.
+a hash of term and sample.  Words are hashed and sorted in the JVM, samples drawn by array operations
+over a batch of documents; everything of a text is computed in its own row, nothing of it moves.
 
 Defined results: null text is empty; a text without words has an empty fingerprint; two empty ones are
 alike (1), an empty and another one are not (0); equal texts have equal fingerprints.
@@ -23,13 +22,17 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from quadra.llm.shared import if_small, range_bucket
 
-BINS = 64
+SAMPLES = 64
 STEPS = 4096
+ROWS = 500   # documents whose samples are drawn together
 
 
 def _quantiles() -> list[float]:
@@ -44,52 +47,69 @@ def _quantiles() -> list[float]:
     return out
 
 
-def _table(values: list[float]) -> Column:
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
-
-
-_GAMMA = _quantiles()
-
-
-def _bits(h: Column, shift: int) -> Column:
-    return F.shiftright(h, shift).bitwiseAND(F.lit(STEPS - 1)).cast("int")
-
-
-def _offer(term: Column, weight: Column) -> Column:
-    """bin (6 bits) | ln a (31 bits, order kept) | 26 bits of the hash of (term, t)."""
-    h = F.xxhash64(term, F.lit(1))
-    rate, scale, shift = F.get(_table(_GAMMA), _bits(h, 0)), F.get(_table([math.log(x) for x in _GAMMA]), _bits(h, 12)), _bits(h, 24) / F.lit(float(STEPS))
-    one = F.shiftleft(_level(scale - rate * (F.lit(1.0) - shift)), 26) + F.shiftrightunsigned(h, 38)
-    t = F.floor(F.log(weight.cast("double")) / rate + shift)
-    many = F.shiftleft(_level(scale - rate * (t - shift + F.lit(1.0))), 26) + F.shiftrightunsigned(F.when(t == 0, h).otherwise(F.xxhash64(term, t)), 38)
-    return F.shiftleft(term.bitwiseAND(F.lit(BINS - 1)), 57) + F.when(weight == 1, one).otherwise(many)
-
-
-def _level(x: Column) -> Column:
-    """A number of 31 bits that grows with x from -160 on."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(2147483647.0), (x + F.lit(160.0)) * F.lit(1.25e7))).cast("bigint")
+_GAMMA = np.array(_quantiles())
+_LOG_GAMMA = np.log(_GAMMA)
+
+
+def _fingerprints():
+    """The Arrow function of sorted word hashes; all it calls is inside, so that it travels whole to executors without this package."""
+
+    def mixed(z: np.ndarray) -> np.ndarray:
+        """64 bits, each of which depends on all of ``z`` (the splitmix64 finaliser)."""
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return z ^ (z >> np.uint64(31))
+
+    def samples(term: np.ndarray, log_weight: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """(documents, SAMPLES): sample number | 26 bits of the hash of the winning (term, t); a document's terms begin at its start."""
+        out = np.empty((len(starts), SAMPLES), "int64")
+        lengths = np.diff(np.append(starts, len(term)))
+        low = np.uint64(STEPS - 1)
+        for k in range(SAMPLES):
+            z = mixed(term + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
+            rate, shift = _GAMMA[z & low], ((z >> np.uint64(24)) & low) / STEPS
+            t = np.floor(log_weight / rate + shift)
+            a = _LOG_GAMMA[(z >> np.uint64(12)) & low] - rate * (t - shift + 1.0)
+            best = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, starts), lengths))
+            best = best[np.searchsorted(best, starts)]  # of equal ones the first
+            code = mixed(z[best] + t[best].astype("uint64") * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(38)
+            out[:, k] = (k << 26) + code.astype("int64")
+        return out
+
+    @F.arrow_udf(ArrayType(LongType()))
+    def search(hashes: pa.Array) -> pa.Array:
+        """Of each sorted array of word hashes the fingerprint; an empty one of an empty array."""
+        ends = hashes.offsets.to_numpy()
+        words = hashes.values.to_numpy()[:ends[-1]].view("uint64")
+        sizes = np.zeros(len(hashes), "int64")
+        found = []
+        for s in range(0, len(hashes), ROWS):
+            at = ends[s:s + ROWS + 1].astype("int64")
+            some = words[at[0]:at[-1]]
+            filled = np.flatnonzero(np.diff(at))
+            sizes[s + filled] = SAMPLES
+            if len(filled):
+                begin = at[filled] - at[0]
+                new = np.append(True, some[1:] != some[:-1])
+                new[begin] = True
+                first = np.flatnonzero(new)
+                counts = np.diff(np.append(first, len(some)))
+                found.append(samples(some[first], np.log(counts), np.searchsorted(first, begin)).ravel())
+        offsets = np.append(0, np.cumsum(sizes)).astype("int32")
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.array([], "int64")))
+
+    return search
 
 
 def with_fingerprint(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """``df`` plus array<long> ``name``: per filled bin, in order, bin | sample."""
+    """``df`` plus array<long> ``name``: per sample, in order, its number | what won."""
     w = F.filter(F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " "), lambda x: x != "")
-    kept = [F.col(f"`{c}`") for c in df.columns]
-    df = df.select(*kept, F.sort_array(F.transform(w, lambda x: F.xxhash64(x))).alias("_h"))
-    last = F.filter(F.sequence(F.lit(0), F.size("_h") - 1), lambda i: F.coalesce(F.get("_h", i + 1) != F.get("_h", i), F.lit(True)))
-    df = df.select(*kept, "_h", F.when(F.size("_h") > 0, last).otherwise(F.array().cast("array<int>")).alias("_e"))
-    offers = F.transform("_e", lambda e, i: _offer(F.get("_h", e), e - F.coalesce(F.get("_e", i - 1), F.lit(-1))))
-    df = df.select(*kept, F.sort_array(offers).alias("_o"))
-    best = F.filter("_o", lambda x, i: F.coalesce(F.shiftright(F.get("_o", i - 1), 57) != F.shiftright(x, 57), F.lit(True)))
-    # code 57 bits down to the sample's 26, the bin above them
-    sample = F.transform(best, lambda x: F.shiftleft(F.shiftrightunsigned(x, 57), 26) + x.bitwiseAND(F.lit((1 << 26) - 1)))
-    return df.select(*kept, sample.alias(name))
+    return df.withColumn(name, _fingerprints()(F.sort_array(F.transform(w, lambda x: F.xxhash64(x)))))
 
 
 def likeness(a: str, b: str) -> Column:
-    """Equal samples among the bins that either fills."""
-    bins = lambda c: F.transform(c, lambda x: F.shiftright(x, 26))
-    filled = F.size(F.array_union(bins(a), bins(b)))
-    return F.when(filled == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(filled, F.lit(1)))
+    """The share of equal samples."""
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.lit(SAMPLES))
 
 
 def as_text(a: str) -> Column:

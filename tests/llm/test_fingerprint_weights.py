@@ -1,0 +1,15 @@
+"""Likeness of fingerprints is the generalised Jaccard similarity also where one word is most of a text."""
+from pyspark.sql import functions as F
+
+from quadra.llm.fingerprints import likeness, with_fingerprint
+
+
+def test_heavy_word(spark):
+    rest = " ".join(f"w{i}" for i in range(63))
+    pairs = [(f"{'spam ' * 1000}{rest}", f"{'ham ' * 1000}{rest}", 63 / 2063), (f"{'spam ' * 1000}{rest}", f"{'spam ' * 500}{rest}", 563 / 1063),
+             (rest, " " + rest + "\n", 1.0), ("", " ", 1.0), ("", "a", 0.0), ("a b", "c d", 0.0)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(pairs)], "i int, a string, b string")
+    df = with_fingerprint(with_fingerprint(df, F.col("a"), "fa"), F.col("b"), "fb")
+    for r in df.select("i", likeness("fa", "fb").alias("x"), "fa").collect():
+        want = pairs[r.i][2]
+        assert r.x == want if want in (0.0, 1.0) else abs(r.x - want) < 0.2
