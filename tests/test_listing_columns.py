@@ -3,16 +3,18 @@ import datetime
 import os
 import random
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from quadra.functions.geo import nearest_each
 from quadra.functions.text import canonical_id, title_case, trim_ws
 from quadra.operators import profiles, quality
 from quadra.plans.pipeline import gold
 from quadra.plans.queries import BI_FLAGS, PROFILE_OUT, bi, silver
 from quadra.session import ensure_checkpoint_dir
-from quadra.sources.listing_view import first_listings, listing_view
+from quadra.sources.listing_view import ORDER_COLS, first_bases, first_listings, listing_columns, listing_view
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +90,47 @@ def test_bi_table_is_worked_out_where_read(spark):
     was = _stored(spark, "gold")
     assert "ArrowEvalPython" not in bi(spark, SF).select("id_imovel", *BI_FLAGS)._jdf.queryExecution().optimizedPlan().toString()
     assert _stored(spark, "gold") == was
+
+
+def test_gold_stores_base_columns_and_derives_the_rest(spark):
+    was = _stored(spark, "silver")
+    lazy = quality.clean_derived(first_bases(spark, SF), listing_columns)
+    new, = _stored(spark, "silver") - was
+    kept = spark.read.parquet(f"{ensure_checkpoint_dir(spark)}/{new}").columns
+    assert set(kept) == {"l_orderkey", "s_name", "n_name", *ORDER_COLS, *[f"_{c}" for c in quality.SHARED_COLS]}
+    every = quality.clean(first_listings(spark, SF))
+    assert [(f.name, f.dataType) for f in lazy.schema] == [(f.name, f.dataType) for f in every.schema]
+    assert sorted(map(str, lazy.collect())) == sorted(map(str, every.collect()))
+    was = _stored(spark, "silver")
+    gold(spark, SF, columns=["id_imovel", "dias_no_mercado"])
+    new, = _stored(spark, "silver") - was
+    assert "descricao" not in spark.read.parquet(f"{ensure_checkpoint_dir(spark)}/{new}").columns
+
+
+def test_scans_of_the_listing_view_are_cut_by_cores(spark):
+    own, key = spark.newSession(), "spark.sql.files.minPartitionNum"
+    own.conf.unset(key)
+    listing_view(own, SF)
+    assert int(own.conf.get(key)) == 4 * spark.sparkContext.defaultParallelism
+    own.conf.set(key, "3")
+    listing_view(own, SF)
+    assert own.conf.get(key) == "3"
+
+
+def test_nearest_by_products_is_the_haversine_of_every_point(spark):
+    points = [(0, "a", -22.9, -43.2), (1, "b", -22.9, -43.2 + 1e-9), (2, "c", -22.9 + 1e-10, -43.2), (3, "d", 10.0, 170.0), (4, "e", 10.0, -170.0), (5, "f", 89.9, 0.5)]
+    rows = [(-22.9, -43.2), (-22.9, -43.2 + 5e-10), (-22.9 + 5e-11, -43.2), (10.0, 180.0), (10.0, -180.0), (90.0, 1.0), (400.0, 20.0), (1e9, 1e17), (1e300, 2.0),
+            (float("inf"), 1.0), (1.0, float("nan")), (0.0, 1.0), (None, 1.0), (-89.0, 179.0)]
+    rows += [(-22.9 + i / 997, -43.2 - i / 1013) for i in range(300)]
+    df = spark.createDataFrame(rows, "latitude double, longitude double")
+    got = df.withColumn("n", nearest_each(F.col("latitude"), F.col("longitude"), {"x": points}))
+    for r in got.collect():
+        if r.latitude is None or r.latitude == 0:
+            assert r.n.x.a is None and r.n.x.i is None
+            continue
+        with np.errstate(invalid="ignore"):
+            la, lo = np.radians(r.latitude), np.radians(r.longitude)
+            p = np.radians([q[2:] for q in points])
+            a = np.sin((p[:, 0] - la) / 2) ** 2 + np.cos(la) * np.cos(p[:, 0]) * np.sin((p[:, 1] - lo) / 2) ** 2
+        assert r.n.x.i == a.argmin(), r
+        assert (np.isnan(r.n.x.a) and np.isnan(a[a.argmin()])) or abs(r.n.x.a - a.min()) <= 1e-15 + 1e-12 * abs(a.min()), r
