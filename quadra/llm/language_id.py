@@ -7,7 +7,7 @@ is coded one order lower, below order 0 in 8 bits.  The language with the shorte
 
 Size: the model is fitted on a bounded sample (``SAMPLE_ROWS`` rows of each label, taken by a hash of
 the row key) and bounded to ``NODES`` context entries over all languages, so that it may be broadcast.
-Scoring is one narrow pass over Arrow batches, whole texts, about a MB at a time.
+Scoring is one narrow pass over Arrow batches, whole texts, about a quarter of a MB at a time.
 
 Defined results: null text, text without a letter, or no training rows at all: ``und``, score 0,
 bits 0.  Ties in code length go to the smaller label by code point.  Input columns named like a
@@ -28,7 +28,7 @@ from quadra.llm.shared import runs, text_bytes
 ORDER = 4
 SAMPLE_ROWS = 1500
 NODES = 400_000
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 COUNTS = T.StructType([T.StructField("label", T.StringType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
 RESULT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())]
 
@@ -107,7 +107,7 @@ class _Memo:
     def __init__(self, model: Model):
         self.model = model
         bits = 20
-        while bits > 12 and (1 << bits) * len(model.labels) * 4 > 64 << 20:
+        while bits > 12 and (1 << bits) * len(model.labels) * 4 > 8 << 20:
             bits -= 1
         self.shift = np.uint64(64 - bits)
         self.key = np.zeros(1 << bits, np.uint64)
