@@ -26,11 +26,11 @@ def write_bi(df: DataFrame, path: str | None = None, sep: str = ";") -> str:
     return out
 
 
-def write_parts(df: DataFrame, path: str | None = None, sep: str = ";") -> str:
-    """Listing rows appended as text CSV parts, one per task as the rows lie."""
+def write_parts(df: DataFrame, path: str | None = None, sep: str = ";", compression: str = "none") -> str:
+    """Listing rows appended as text CSV parts, one per task as the rows lie; ``compression``: a codec that Spark's CSV reader knows."""
     out = path or scratch(df, "parts")
     df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]) \
-      .write.mode("append").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("header", True).option("sep", sep).csv(out)
+      .write.mode("append").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("header", True).option("sep", sep).option("compression", compression).csv(out)
     return out
 
 
