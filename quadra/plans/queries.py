@@ -312,7 +312,8 @@ from quadra.operators import nlp as nlp_ops  # noqa: E402
 @query
 def q_top3_poi(spark, sf_dir):
     """J9 + G8: three nearest health/education points and the nearby-services summary."""
-    g = geo_ops.nearby_summary(gold(spark, sf_dir))
+    near = [c for cat in ("mercado", "feira", "praia", "shopping", "transporte") for c in (f"dist_{cat}_km", f"{cat}_prox")]
+    g = geo_ops.nearby_summary(gold(spark, sf_dir, columns=["id_imovel", "latitude", "longitude", *near]))
     return g.select("id_imovel", F.array_join(F.transform("top3_saude_educ", lambda p: p["name"]), "; ").alias("top3"),
                     "itens_proximos")
 
