@@ -321,8 +321,9 @@ def q_top3_poi(spark, sf_dir):
 @query
 def q_legacy_variants(spark, sf_dir):
     """E14-E16 + G7 + G9 + G10 + N27: first-generation scores, SAC scenario, tags and map link."""
-    g = gold(spark, sf_dir)
-    g = nlp_ops.extract_tags(g.drop(*[n for n, _ in nlp_ops.V1_TAGS if n in g.columns]), nlp_ops.V1_TAGS)
+    g = gold(spark, sf_dir, columns=["id_imovel", "valor", "bairro", "descricao", "latitude", "longitude", "diferenca_percentual", "custo_fixo_mensal",
+                                     *geo_ops.WALKABLE, "dist_risco_km", "dist_policia_km"])
+    g = nlp_ops.extract_tags(g, nlp_ops.V1_TAGS)
     g = fin_ops.v1_investment_score(fin_ops.v1_finance(geo_ops.v1_scores(g)))
     return g.select("id_imovel", "score_mobilidade_v1", "score_seguranca_v1", "walkability", "vocacao_airbnb_v1",
                     "link_maps", "entrada_minima", "valor_financiado", "primeira_parcela_estimada",
