@@ -334,7 +334,7 @@ def q_legacy_variants(spark, sf_dir):
 @query
 def q_type_classifier(spark, sf_dir):
     """N28 + N29 + N35: early amenity words, property-type code, comfort class."""
-    g = nlp_ops.legacy_words(gold(spark, sf_dir))
+    g = nlp_ops.legacy_words(gold(spark, sf_dir, columns=["id_imovel", "descricao", "score_conforto"]))
     return g.select("id_imovel", *[f"w_{n}" for n, _ in nlp_ops.LEGACY_WORDS],
                     nlp_ops.legacy_type_code().alias("tipo_codigo"),
                     nlp_ops.comfort_class().alias("classificacao_conforto"))
