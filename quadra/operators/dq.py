@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quadra import dims
 from quadra.functions.order import ranked
 from quadra.functions.text import bool_to_int, to_double0
+from quadra.session import stored
 
 MONEY_COLS = ["condominio_R$", "iptu_R$", "valor_R$", "area_m2", "custo_fixo_mensal", "entrada_minima",
               "valor_financiado", "primeira_parcela_estimada", "renda_minima_familiar"]
@@ -161,6 +162,9 @@ def recommendations(rules: DataFrame) -> DataFrame:
 
 #: A payback of so many years or more means "never" and is not shown.
 NO_PAYBACK = 900
+#: What the report of opportunities reads.
+REPORT_INPUTS = ["id_imovel", "bairro", "zona", "valor", "diferenca_percentual", "tipo_imovel", "area_m2", "quartos", "vagas", "condominio", "iptu",
+                 "anos_payback", "score_conforto", "perfil_familia", "perfil_investidor", "perfil_primeiro_imovel"]
 
 
 def opportunity_report(df: DataFrame, delta: str = "diferenca_percentual") -> DataFrame:
@@ -170,4 +174,5 @@ def opportunity_report(df: DataFrame, delta: str = "diferenca_percentual") -> Da
         "id_imovel", "bairro", "zona", "valor", F.col(delta).alias("delta_pct"), opportunity_level(delta).alias("nivel"), "tipo_imovel", "area_m2", "quartos", "vagas",
         some("condominio").alias("condominio"), some("iptu").alias("iptu"), F.when(F.col("anos_payback") < NO_PAYBACK, F.bround("anos_payback", 0)).alias("payback_anos"),
         "score_conforto", "perfil_familia", "perfil_investidor", "perfil_primeiro_imovel")
-    return ranked(lines, [F.col("delta_pct"), F.col("id_imovel")])
+    # the sort reads its input twice, for the bounds of its ranges and for the rows
+    return ranked(stored(lines, "report"), [F.col("delta_pct"), F.col("id_imovel")])
