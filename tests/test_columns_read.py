@@ -67,6 +67,11 @@ def test_components_equal_numpy(spark):
     assert {r.feature for r in got} == {"a", "c"} and [r.posicao for r in got] == [1, 2]
 
 
+def test_components_of_missing_values(spark):
+    with pytest.raises(ValueError):
+        ml.principal_components(spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "a double, b double"), ["a", "b"])
+
+
 def test_a_cluster_count_is_fitted_once(spark, monkeypatch):
     made = []
     real = ml.KMeans
